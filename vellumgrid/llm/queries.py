@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .secret_scan import OP1_SQL, op1_secret_scan
+from .source_mix import OP9_SQL, op9_source_mix
 from .token_counts import op7_token_counts
 from .token_store import op8_token_store
 
@@ -14,8 +15,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op7_token_counts": op7_token_counts,
     "op8_token_store": op8_token_store,
+    "op9_source_mix": op9_source_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": OP1_SQL,
+    "op9_source_mix": OP9_SQL,
 }
