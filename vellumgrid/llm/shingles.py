@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
@@ -127,7 +128,7 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
     """Slices of a batch with at most about ``most`` bytes of text, one row at least."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for i, n in enumerate(sizes):
         if i > start and total + n > most:
