@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op2_fingerprints
+from .near_dedup import OP3_SQL, op3_near_dedup
 from .secret_scan import OP1_SQL, op1_secret_scan
 from .source_mix import OP9_SQL, op9_source_mix
 from .token_counts import op7_token_counts
@@ -15,6 +16,7 @@ from .token_store import op8_token_store
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_fingerprints": op2_fingerprints,
+    "op3_near_dedup": op3_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_token_store": op8_token_store,
     "op9_source_mix": op9_source_mix,
@@ -22,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": OP1_SQL,
+    "op3_near_dedup": OP3_SQL,
     "op9_source_mix": OP9_SQL,
 }
