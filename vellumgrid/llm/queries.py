@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op4_decontaminate
 from .fingerprints import op2_fingerprints
 from .near_dedup import OP3_SQL, op3_near_dedup
 from .secret_scan import OP1_SQL, op1_secret_scan
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_fingerprints": op2_fingerprints,
     "op3_near_dedup": op3_near_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op8_token_store": op8_token_store,
     "op9_source_mix": op9_source_mix,
