@@ -131,6 +131,11 @@ def _terms(words: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
         if t:
             seen[True].update(own)
             stems[True].update({w[:n] for w in own for n in STEMS if len(w) >= n})
+    most: dict[str, int] = {}
+    for w, a in seen[True].items():
+        for n in STEMS:
+            if len(w) >= n:
+                most[w[:n]] = max(most.get(w[:n], 0), a)
     for counter in (seen, stems):  # only what toxic documents have often enough can be telling
         counter[True] = Counter({x: n for x, n in counter[True].items() if n >= least})
     stem_of = {w: [s for s in (w[:n] for n in STEMS if len(w) >= n) if s in stems[True]] for w in set().union(*words)} if words else {}
@@ -140,11 +145,6 @@ def _terms(words: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
             stems[False].update({s for w in own for s in stem_of[w]})
     odds = lambda a, b: float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1)))
     telling = lambda a, b: a >= least and odds(a, b) >= 2.5 and b * n1 * 20 <= a * max(n0, 1)
-    most: dict[str, int] = {}
-    for w, a in seen[True].items():
-        for n in STEMS:
-            if len(w) >= n:
-                most[w[:n]] = max(most.get(w[:n], 0), a)
     longer: dict[str, list[str]] = {}
     for s in stems[True]:
         if len(s) > STEMS[0]:
