@@ -10,6 +10,7 @@ from .decontaminate import op4_decontaminate
 from .fingerprints import op2_fingerprints
 from .language_id import op10_language_id
 from .near_dedup import OP3_SQL, op3_near_dedup
+from .quality import op5_quality
 from .secret_scan import OP1_SQL, op1_secret_scan
 from .source_mix import OP9_SQL, op9_source_mix
 from .token_counts import op7_token_counts
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_near_dedup": op3_near_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_token_store": op8_token_store,
