@@ -22,6 +22,7 @@ first. Other columns of the input are not stored.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +40,8 @@ END = 2
 BLOCK = 65_536
 EVERY = 512
 MOST_BITS = 18
-WORDS_KEPT = 1_500_000
+WORDS_KEPT = 1_200_000
+LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
 
 class WordIds:
@@ -47,11 +49,13 @@ class WordIds:
 
     Text is cut at ASCII white space, which this pipeline drops and never tokenizes
     across, so the ids of a text are those of its words in turn. Each new word goes
-    through the library once; its ids are kept as packed bytes.
+    through the library once; its ids are kept as packed bytes. Of words in Latin
+    letters, whose normal form is their lower case, only the library's model is needed;
+    that this holds for the file at hand is checked when it is loaded.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -59,6 +63,32 @@ class WordIds:
         if not self._separable():
             raise ValueError("this tokenizer sees across white space")
         self.known: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        # the same model without the steps that do nothing to lower-case Latin letters
+        self.bare = Tokenizer(self.library.model)
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks = {x: self._pack(self.encode_library([x]))[0] for x in (".", ",")} | {"": b""}
+        self.simple = self._plain_words()
+
+    def _plain_words(self) -> bool:
+        """Whether a word of Latin letters and a mark is its lower-case letters, encoded bare, and then the mark."""
+        probe = ["Word", "éÀß.", "x,", "tHE.", "Ünïon", "aaaaaaaaaaaaaaaaaaaa,", "ST"]
+        whole = self._pack(self.encode_library(probe))
+        return whole == [self._bare([m[1].lower()])[0] + self.marks[m[2]] for m in map(LATIN.fullmatch, probe)]
+
+    @staticmethod
+    def _pack(ids: list[list[int]]) -> list[bytes]:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        packed = np.fromiter((i for x in ids for i in x), "<u4", int(sizes.sum())).tobytes()
+        at = np.concatenate([[0], np.cumsum(sizes) * 4]).tolist()
+        return [packed[a:b] for a, b in zip(at, at[1:])]
+
+    def _bare(self, words: list[str]) -> list[bytes]:
+        got = self.bare.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids, of = np.array(got.ids, "<u4"), np.array(got.word_ids, np.int64)
+        at = (np.searchsorted(of, np.arange(len(words) + 1)) * 4).tolist()
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip(at, at[1:])]
 
     def _separable(self) -> bool:
         probe = "One two's\n thrée,\t4 ...  ﬁve <|endoftext|> x"
@@ -72,18 +102,23 @@ class WordIds:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         split = [x.encode("utf-8", "surrogatepass").split() for x in texts]
         if len(self.known) > WORDS_KEPT:
-            self.known = {}
+            self.known, self.cores = {}, {}
         new = list(set().union(*split).difference(self.known)) if split else []
         for start in range(0, len(new), 8192):
-            part = new[start : start + 8192]
-            ids = self.encode_library([x.decode("utf-8", "surrogatepass") for x in part])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            packed = np.fromiter((i for x in ids for i in x), "<u4", int(sizes.sum())).tobytes()
-            at = np.concatenate([[0], np.cumsum(sizes) * 4]).tolist()
-            self.known.update((w, packed[a:b]) for w, a, b in zip(part, at, at[1:]))
+            self._learn(new[start : start + 8192])
         get = self.known.__getitem__
         return [b"".join(map(get, x)) for x in split]
 
+    def _learn(self, new: list[bytes]) -> None:
+        texts = [x.decode("utf-8", "surrogatepass") for x in new]
+        parts = [LATIN.fullmatch(x) if self.simple else None for x in texts]
+        core = [m and m[1].lower() for m in parts]
+        fresh = list({c for c in core if c}.difference(self.cores))
+        self.cores.update(zip(fresh, self._bare(fresh)))
+        whole = [i for i, m in enumerate(parts) if not m]
+        self.known.update(zip((new[i] for i in whole), self._pack(self.encode_library([texts[i] for i in whole]))))
+        self.known.update((x, self.cores[c] + self.marks[m[2]]) for x, c, m in zip(new, core, parts) if m)
+
 
 @functools.lru_cache(maxsize=2)
 def ids_at(path: str) -> WordIds:
