@@ -198,18 +198,43 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
 
     ``start`` is the end of the best occurrence less the item's length.
     """
+    source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    out = None
+    for index in _indexes(docs, benchmark, item_id, item_text, edits, block):
+        found = source.mapInArrow(_scan(index), "doc_id long, item_id long, start long, end long, edits long")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", edits: float = EDITS, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` in which no item occurs; each is judged by its own text, whatever its id."""
+    for index in _indexes(docs, benchmark, item_id, item_text, edits, block):
+        docs = docs.mapInArrow(_clean(index, text), docs.schema)
+    return docs
+
+
+def _indexes(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, edits: float, block: int) -> Iterator:
+    """The items' indexes, each of about ``block`` characters, sent to the executors."""
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("i"), F.col(f"`{item_text}`").alias("t"))
     size = items.agg(F.sum(F.char_length("t")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block))
-    source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    out = None
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()  # about ``block`` characters
-        found = source.mapInArrow(_scan(spark.sparkContext.broadcast(build([(r["i"], r["t"]) for r in rows], edits))), "doc_id long, item_id long, start long, end long, edits long")
-        out = found if out is None else out.unionByName(found)
-    return out
+        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()
+        yield spark.sparkContext.broadcast(build([(r["i"], r["t"]) for r in rows], edits))
+
+
+def _parts(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``most`` characters at most, one text at least."""
+    start, n = 0, 0
+    for i, x in enumerate(texts):
+        if i > start and n + len(x) > most:
+            yield start, i
+            start, n = i, 0
+        n += len(x)
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def _scan(sent):
@@ -218,16 +243,24 @@ def _scan(sent):
         seen = index.filter()
         for whole in batches:
             ids, texts = whole.column("id").to_pylist(), whole.column("text").to_pylist()
-            start = 0
-            while start < len(texts):
-                stop, n = start, 0
-                while stop < len(texts) and (stop == start or n + len(texts[stop]) <= 1 << 20):
-                    n += len(texts[stop])
-                    stop += 1
+            for start, stop in _parts(texts):
                 rows = matches(index, texts[start:stop], seen)
                 columns = list(zip(*[(ids[start + d], i, a, b, e) for d, i, a, b, e in rows])) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "start", "end", "edits"])
-                start = stop
+
+    return run
+
+
+def _clean(sent, text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = sent.value
+        seen = index.filter()
+        for whole in batches:
+            texts = [x or "" for x in whole.column(text).to_pylist()]
+            for start, stop in _parts(texts):
+                good = np.ones(stop - start, bool)
+                good[[row[0] for row in matches(index, texts[start:stop], seen)]] = False
+                yield whole.slice(start, stop - start).filter(pa.array(good))
 
     return run
 

@@ -31,6 +31,8 @@ from .shingles import bytes_of, pieces
 SAMPLE = 1000
 LONGEST = 50_000
 UNKNOWN = "und"
+#: What the pipeline asks of a score; clean texts of a word or two come near to one half.
+LEAST = 0.3
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af lb yi fy",
     "romance": "fr es it pt ro ca gl oc la",
@@ -120,6 +122,16 @@ def sample(labelled: DataFrame, id: str, text: str, lang: str, most: int = SAMPL
     return out
 
 
+def lettered(texts: pa.Array) -> np.ndarray:
+    """Whether each text has a letter."""
+    data, bounds = bytes_of(texts)
+    ascii_letters = np.concatenate([[0], np.cumsum((data | 0x20) - np.uint8(97) < 26)])
+    out = ascii_letters[bounds[1:]] > ascii_letters[bounds[:-1]]
+    for i in np.flatnonzero(~out):
+        out[i] = any(c.isalpha() for c in texts[int(i)].as_py())
+    return out
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[Column] = ()) -> DataFrame:
     """The columns ``keep`` plus lang_pred and score of each whole text."""
     spark = docs.sparkSession
@@ -133,16 +145,33 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[Column
             for batch in pieces(whole, "__text", 1 << 20):
                 texts = batch.column("__text")
                 lang, score = sent.value.predict(texts)
-                data, bounds = bytes_of(texts)
-                letter = np.concatenate([[0], np.cumsum((data | 0x20) - np.uint8(97) < 26)])
-                for i in np.flatnonzero(letter[bounds[1:]] == letter[bounds[:-1]]):
-                    if not any(c.isalpha() for c in texts[int(i)].as_py()):
-                        lang[i], score[i] = UNKNOWN, 0.0
+                for i in np.flatnonzero(~lettered(texts)):
+                    lang[i], score[i] = UNKNOWN, 0.0
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*kept, "lang_pred", "score"])
 
     return source.mapInArrow(run, source.drop("__text").schema.add("lang_pred", "string").add("score", "double"))
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of at least ``least``.
+
+    Rows without a letter go. Where nothing could be learned all others stay.
+    """
+    ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces(whole, text, 1 << 20):
+                texts = batch.column(text).fill_null("")
+                good = lettered(texts)
+                if sent.value.families:
+                    good &= np.array(sent.value.predict(texts)[1]) >= least
+                yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(crc_of_id() % 4 == 2, F.lit(False))

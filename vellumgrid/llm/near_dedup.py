@@ -254,6 +254,24 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", per
     return done
 
 
+def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs`` that stand for their group of near duplicates.
+
+    Of rows that repeat an id the one with the smallest text stays; rows with a null id
+    all stay.
+    """
+    near = near_duplicates(docs, id, text, percent, scratch).where("kept and id is not null").select("id")
+    again = near.groupBy("id").count().where("count > 1").select("id")
+    heads = near.distinct()
+    own = docs.join(heads, docs[id] == heads["id"], "left_semi")
+    if not again.isEmpty():
+        once = own.join(again, own[id] == again["id"], "left_anti")
+        more = own.join(again, own[id] == again["id"], "left_semi")
+        row, order = F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+        own = once.unionByName(more.groupBy(F.col(f"`{id}`").alias("__id")).agg(F.min_by(row, order).alias("__row")).select("__row.*"))
+    return own.unionByName(docs.where(F.col(f"`{id}`").isNull()))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
 

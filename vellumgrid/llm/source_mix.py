@@ -59,6 +59,43 @@ def targets(sizes: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weig
     return ranked.select("source", "source_size", F.when(F.col("__clamped"), F.col("__cap")).otherwise(F.coalesce(free["__level"], F.lit(0.0)) * F.col("__w")).alias("target"))
 
 
+def _place(id: str, seed: int) -> Column:
+    """The place of a document in the seeded order."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(f"`{id}`").cast("string"), F.lit(""))).cast("binary"))
+
+
+def repetitions(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, id: str = "doc_id", text: str = "text", source: str = "source", scratch: Scratch | None = None) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, whole documents only.
+
+    A source's fractional repetition ends at one place of the seeded order. That place,
+    one row for each source, is found from sizes alone; then every document decides for
+    itself, so no text is shuffled unless there are too many sources to broadcast.
+    Rows that are equal in id and size are taken or left together.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "mix")
+    name, key, size = F.col(f"`{source}`").cast("string"), _place(id, seed), words(text)
+    sized = docs.select(name.alias("source"), size.alias("size"), key.alias("key")).groupBy("source", "key", "size").agg(F.count("*").alias("rows"))
+    sized = scratch.keep(sized.withColumn("bucket", F.substring("key", 1, DIGITS)), "sizes")
+    buckets = sized.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("rows")).alias("n"))
+    plan = targets(buckets.groupBy("source").agg(F.sum("n").alias("source_size")), share, epochs, weights)
+    plan = plan.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
+    plan = plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+    to = F.sum("n").over(W.partitionBy("source").orderBy("bucket"))
+    cut = buckets.withColumn("before", to - F.col("n")).alias("b").join(plan.alias("p"), F.col("b.source").eqNullSafe(F.col("p.source"))).where("before < rest and rest <= before + n").select("b.source", "bucket", "before", "rest")
+    inside = sized.alias("d").join(cut.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.bucket") == F.col("c.bucket"))).select("d.source", "d.bucket", "key", "size", "rows", "before", "rest")
+    was = F.sum(F.col("size") * F.col("rows")).over(W.partitionBy("source").orderBy("key", "size")) - F.col("size") * F.col("rows")
+    last = inside.withColumn("left", F.col("rest") - F.col("before") - was).where("left > 0 and 2 * left >= size * rows").groupBy("source").agg(F.max(F.struct("key", "size")).alias("last"))
+    ends = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").join(last.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")), "left")
+    ends = scratch.keep(ends.select(F.col("p.source").alias("__s"), F.col("whole").alias("__whole"), F.when(F.col("p.rest") > 0, F.coalesce("bucket", F.lit("g"))).alias("__bucket"), F.col("last").alias("__last")), "ends")
+    # a written table has a known size: Spark broadcasts it only if it is below its limit
+    both = docs.withColumns({"__size": size, "__key": key}).join(ends, name.eqNullSafe(F.col("__s")))
+    first = F.substring("__key", 1, DIGITS)
+    part = (F.col("__bucket").isNotNull() & ((first < F.col("__bucket")) | ((first == F.col("__bucket")) & F.coalesce(F.struct(F.col("__key").alias("key"), F.col("__size").alias("size")) <= F.col("__last"), F.lit(False))))).cast("int")
+    times = F.when(F.col("__size") > 0, F.col("__whole").cast("int") + part).otherwise(0)
+    every = F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>")))
+    return both.withColumn("__n", every).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def mix(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, id: str = "doc_id", text: str = "text", source: str = "source", divide: bool = True, keep: tuple[str, ...] = (), scratch: Scratch | None = None) -> DataFrame:
     """Per document: id, size, source, source_size, target, taken (words, repeats counted), and the columns ``keep``.
 
@@ -66,7 +103,7 @@ def mix(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights:
     missing; without, it is taken whole if that is nearer.
     """
     scratch = scratch or Scratch(docs.sparkSession, "mix")
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(f"`{id}`").cast("string"), F.lit(""))).cast("binary"))
+    key = _place(id, seed)
     named = list(dict.fromkeys([id, *keep]))
     sized = docs.select(*[F.col(f"`{c}`") for c in named if c not in ("source",)], F.col(f"`{source}`").cast("string").alias("source"), words(text).alias("size"), key.alias("__key"))
     sized = scratch.keep(sized.withColumn("__bucket", F.substring("__key", 1, DIGITS)), "sizes")
