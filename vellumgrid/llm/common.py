@@ -82,11 +82,19 @@ class Scratch:
 _shipped: set[str] = set()
 
 
+#: Of what goes to a Python worker at once; rows of whole texts are large.
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, for sessions whose workers can't import it themselves."""
+    """Give executors this package, for sessions whose workers can't import it themselves, and keep Arrow batches small."""
     import os
     import zipfile
 
+    for key, most, usual in (("maxBytesPerBatch", BATCH_BYTES, 64 << 20), ("maxRecordsPerBatch", BATCH_ROWS, 10000)):
+        if str(spark.conf.get(f"spark.sql.execution.arrow.{key}", str(usual))).rstrip("b") in (str(usual), "-1"):
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from .shingles import bytes_of
+from .shingles import bytes_of, pieces
 
 SPACE = 1 << 16  # of hashed n-grams
 ORDERS = (2, 3, 4)
@@ -39,23 +39,38 @@ def hashes(data: np.ndarray, bounds: np.ndarray):
             yield h
 
 
+def parts(texts: pa.Array, most: int = 1 << 18):
+    """Slices of about ``most`` bytes, so that what is made for each byte stays small."""
+    for batch in pieces(pa.RecordBatch.from_arrays([texts], names=["x"]), "x", most):
+        yield batch.column("x")
+
+
 def counts(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """(hashes, frequencies) of each text; frequencies are scaled to length 1."""
+    return [x for part in parts(texts) for x in _counts(part)]
+
+
+def _counts(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     data, bounds = bytes_of(texts)
     if len(data) == 0:
-        return [(np.zeros(0, np.int64), np.zeros(0))] * len(texts)
+        return [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * len(texts)
     every = np.stack(list(hashes(data, bounds)), axis=1)
     out = []
     for a, b in zip(bounds, bounds[1:]):
         own, n = np.unique(every[a:b], return_counts=True)
         keep = own < SPACE
         own, n = own[keep], n[keep].astype(float)
-        out.append((own.astype(np.int64), n / max(np.sqrt((n**2).sum()), 1e-9)))
+        out.append((own.astype(np.int32), (n / max(np.sqrt((n**2).sum()), 1e-9)).astype(np.float32)))
     return out
 
 
 def mean_scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     """For each text the mean weight of its n-grams, under each column of ``weights`` (SPACE + 1 rows, the last zero)."""
+    found = [_mean_scores(part, weights) for part in parts(texts)]
+    return np.concatenate(found) if found else np.zeros((0, weights.shape[1]))
+
+
+def _mean_scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     data, bounds = bytes_of(texts)
     out = np.zeros((len(texts), weights.shape[1]))
     if len(data) == 0:

@@ -126,7 +126,7 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def pieces(batch: pa.RecordBatch, column: str, most: int = 1 << 19):
     """Slices of a batch with at most about ``most`` bytes of text, one row at least."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0

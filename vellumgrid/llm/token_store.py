@@ -40,7 +40,7 @@ END = 2
 BLOCK = 65_536
 EVERY = 512
 MOST_BITS = 18
-WORDS_KEPT = 1_200_000
+WORDS_KEPT = 400_000
 LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
 
