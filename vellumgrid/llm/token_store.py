@@ -40,8 +40,14 @@ END = 2
 BLOCK = 65_536
 EVERY = 512
 MOST_BITS = 18
-WORDS_KEPT = 400_000
-LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+WORDS_KEPT = 800_000
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: A full stop, and a comma, between a Latin letter and white space (or the end).
+STOP, COMMA = (re.compile(mark + rb"(?!\S)(?:(?<=[a-z].)|(?<=\xc3[\xa0-\xb6\xb8-\xbf].))") for mark in (rb"\.", rb","))
+
+
+def cut_marks(lowered: bytes) -> bytes:
+    return COMMA.sub(b" ,", STOP.sub(b" .", lowered))
 
 
 class WordIds:
@@ -49,9 +55,11 @@ class WordIds:
 
     Text is cut at ASCII white space, which this pipeline drops and never tokenizes
     across, so the ids of a text are those of its words in turn. Each new word goes
-    through the library once; its ids are kept as packed bytes. Of words in Latin
-    letters, whose normal form is their lower case, only the library's model is needed;
-    that this holds for the file at hand is checked when it is loaded.
+    through the library once; its ids are kept as packed bytes. Where the file lowers all
+    letters and takes a full stop or comma after a word as a piece of its own, texts are
+    lowered and such marks cut off first, so that far fewer words are new; words in Latin
+    letters then only need the library's model. That this holds for the file at hand is
+    checked when it is loaded. Texts with a special string, in either case, are not lowered.
     """
 
     def __init__(self, path: str):
@@ -63,18 +71,18 @@ class WordIds:
         if not self._separable():
             raise ValueError("this tokenizer sees across white space")
         self.known: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.special = [t.content.lower().encode() for t in self.library.get_added_tokens_decoder().values()]
         # the same model without the steps that do nothing to lower-case Latin letters
         self.bare = Tokenizer(self.library.model)
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.marks = {x: self._pack(self.encode_library([x]))[0] for x in (".", ",")} | {"": b""}
-        self.simple = self._plain_words()
+        self.simple = len(self.special) <= 16 and self._plain_words()
 
     def _plain_words(self) -> bool:
-        """Whether a word of Latin letters and a mark is its lower-case letters, encoded bare, and then the mark."""
-        probe = ["Word", "éÀß.", "x,", "tHE.", "Ünïon", "aaaaaaaaaaaaaaaaaaaa,", "ST"]
-        whole = self._pack(self.encode_library(probe))
-        return whole == [self._bare([m[1].lower()])[0] + self.marks[m[2]] for m in map(LATIN.fullmatch, probe)]
+        """Whether case and a mark after a word's letters make no difference to the pieces."""
+        probe = ["Word", "éÀß.", "x,", "tHE.", "Ünïon", "aaaaaaaaaaaaaaaaaaaa,", "ST", "a.b.", "I'S,", "É,", "v2.", "ÑÑ", "İ.", "I\u0307x"]
+        lowered = [cut_marks(x.encode().lower()).decode() for x in probe]
+        latin = [x for x in probe if LATIN.fullmatch(x)]
+        return self.encode_library(probe) == self.encode_library(lowered) and self._pack(self.encode_library(latin)) == self._bare([x.lower() for x in latin])
 
     @staticmethod
     def _pack(ids: list[list[int]]) -> list[bytes]:
@@ -98,11 +106,18 @@ class WordIds:
     def encode_library(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, text: str) -> list[bytes]:
+        raw = text.encode("utf-8", "surrogatepass")
+        low = raw.lower()
+        if not self.simple or any(x in low for x in self.special):
+            return raw.split()
+        return cut_marks(low).split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        split = [x.encode("utf-8", "surrogatepass").split() for x in texts]
+        split = [self.words(x) for x in texts]
         if len(self.known) > WORDS_KEPT:
-            self.known, self.cores = {}, {}
+            self.known = {}
         new = list(set().union(*split).difference(self.known)) if split else []
         for start in range(0, len(new), 8192):
             self._learn(new[start : start + 8192])
@@ -110,14 +125,19 @@ class WordIds:
         return [b"".join(map(get, x)) for x in split]
 
     def _learn(self, new: list[bytes]) -> None:
-        texts = [x.decode("utf-8", "surrogatepass") for x in new]
-        parts = [LATIN.fullmatch(x) if self.simple else None for x in texts]
-        core = [m and m[1].lower() for m in parts]
-        fresh = list({c for c in core if c}.difference(self.cores))
-        self.cores.update(zip(fresh, self._bare(fresh)))
-        whole = [i for i, m in enumerate(parts) if not m]
-        self.known.update(zip((new[i] for i in whole), self._pack(self.encode_library([texts[i] for i in whole]))))
-        self.known.update((x, self.cores[c] + self.marks[m[2]]) for x, c, m in zip(new, core, parts) if m)
+        latin: list[str] = []
+        keys: list[bytes] = []
+        rest: list[bytes] = []
+        for x, text in zip(new, b"\n".join(new).decode("utf-8", "surrogatepass").split("\n")):
+            if self.simple and LATIN.fullmatch(text):
+                keys.append(x)
+                latin.append(text)
+            else:
+                rest.append(x)
+        if keys:
+            self.known.update(zip(keys, self._bare("\n".join(latin).lower().split("\n"))))
+        if rest:
+            self.known.update(zip(rest, self._pack(self.encode_library([x.decode("utf-8", "surrogatepass") for x in rest]))))
 
 
 @functools.lru_cache(maxsize=2)
