@@ -49,7 +49,7 @@ MANTISSA = 10
 SEED = 77
 PERCENT = 85
 DEVIATIONS = 7.0
-CLUSTER = 2_000_000
+CLUSTER = 1_000_000
 MEMBERS = 1024
 _hashes: list[Permutations] = []
 
@@ -144,9 +144,10 @@ class _Postings:
     def __init__(self, sets: list[np.ndarray]):
         size = np.fromiter(map(len, sets), np.int64, len(sets))
         self.at = np.concatenate([[0], np.cumsum(size)])
-        _, self.code = np.unique(np.concatenate(sets), return_inverse=True)
+        _, code = np.unique(np.concatenate(sets), return_inverse=True)
+        self.code = code.astype(np.int32)
         order = np.argsort(self.code, kind="stable")
-        self.holder = np.repeat(np.arange(len(sets)), size)[order]
+        self.holder = np.repeat(np.arange(len(sets), dtype=np.int32), size)[order]
         self.start = np.searchsorted(self.code[order], np.arange(self.code.max(initial=-1) + 2))
 
     def shared(self, k: int) -> np.ndarray:
@@ -214,7 +215,8 @@ def confirmed(docs: DataFrame, members: DataFrame, id: str = "doc_id", text: str
     """A spanning forest (a, b) of the links within the clusters ``members`` (cluster, id, n_shingles, sketch)."""
     tasks = _deal(members.select("cluster", "id", "n_shingles"), percent, limit, most)
     wanted = members.select("cluster", F.col("id").alias("__id"), "sketch")
-    texts = wanted.join(docs.select(F.col(f"`{id}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("__text")).dropDuplicates(["__id"]), "__id")
+    # (rows that repeat an id are told apart after the join, when few rows are left)
+    texts = wanted.join(docs.select(F.col(f"`{id}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("__text")), "__id").dropDuplicates(["__id"])
     sets = sets_of(texts, "__id", "__text", ["cluster", "sketch"])
     dealt = sets.join(tasks, ["cluster", "id"]).select(F.xxhash64("cluster", "task").alias("deal"), "id", "sketch", "shingles")
 
