@@ -211,7 +211,7 @@ def token_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = noise_lines(spark, sf_dir).where("line_no < 12").select("page_id", "line_no", (F.col("line_no") % 4).alias("region_id"), F.when(F.col("line_no") % 3 == 0, 2).otherwise(1).alias("pass"), "text")
+    held = noise_lines(spark, sf_dir).select("page_id", "line_no", (F.col("line_no") % 4).alias("region_id"), F.when(F.col("line_no") % 3 == 0, 2).otherwise(1).alias("pass"), "text")
     return held.join(_named(spark, sf_dir).select("page_id", "region_id", "label"), ["page_id", "region_id"])
 
 
