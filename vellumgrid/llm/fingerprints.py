@@ -6,9 +6,11 @@ in numpy; the minimum of each is the signature. The printed fingerprint keeps BI
 of each minimum in hexadecimal, and likeness() corrects the agreement by the chance that
 unequal minima agree in those bits, so it estimates the sets' Jaccard similarity.
 
-near_pairs() groups signatures by bands in Spark. A group's members are compared with
-its smallest member only, so a group of n copies makes n-1 rows, not n squared; pairs
-that join are verified by the Jaccard similarity of the whole sets.
+near_pairs() groups signatures by bands in Spark. Stars around a group's smallest member
+only form clusters; in each cluster all sets are compared, and a spanning forest of the
+links whose whole sets are similar enough comes back, so a whole cluster of n makes n-1
+rows, not n squared. A large cluster is divided into blocks; every two that could hold a
+link meet, with a forest of their own.
 
 Edge cases: null and empty texts, and texts without a word, have the empty set, whose
 fingerprint is EMPTY; it is like itself (1) and like nothing else (0). Equal texts have
@@ -25,7 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table
+from .common import Scratch, ship, table
+from .components import components
+from .near_dedup import CLUSTER, MEMBERS
+from .near_dedup import _deal as deal
+from .near_dedup import _Postings as Postings
 from .shingles import Permutations, bytes_of, pieces, shingles_of, words_of
 
 PERMUTATIONS = 128
@@ -94,25 +100,51 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     return source.mapInArrow(run, "id long, fingerprint string, signature array<long>, shingles array<long>")
 
 
-def near_pairs(prints: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS) -> DataFrame:
-    """(id, like, jaccard): each document that shares a band with a smaller id, linked to the smallest of that band if the whole sets are as similar as asked.
+def _forest(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int, float]]:
+    """A spanning forest (larger id, smaller id, jaccard) of the links of at least ``similarity`` between sets."""
+    postings, root, out = Postings(sets), np.arange(len(sets)), []
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    for k in range(1, len(sets)):
+        shared = postings.shared(k)[:k]
+        jaccard = shared / (size[k] + size[:k] - shared)
+        near = np.flatnonzero(jaccard >= similarity)
+        met, first = np.unique(root[near], return_index=True)
+        out += [(max(int(ids[k]), int(ids[j])), min(int(ids[k]), int(ids[j])), float(jaccard[j])) for j in near[first]]
+        if len(met):
+            root[np.isin(root, met)] = met[0]
+            root[k] = met[0]
+    return out
+
+
+def near_pairs(prints: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, scratch: Scratch | None = None, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
+    """(id, like, jaccard): links of ids to smaller ones whose whole sets are as similar as asked.
 
-    Documents of equal sets are first reduced to their smallest id, which they are
-    linked to with jaccard 1.
+    Every two documents that share a band are compared, and those of a cluster that are
+    linked by any chain of similar pairs are linked by the rows returned. Documents of
+    equal sets are first reduced to their smallest id, which they are linked to with
+    jaccard 1.
     """
+    scratch = scratch or Scratch(prints.sparkSession, "prints")
     rows = PERMUTATIONS // bands
     sets = prints.where(F.size("shingles") > 0).withColumn("set", F.sha2(F.array_join(F.col("shingles").cast("array<string>"), ","), 256))
     first = sets.groupBy("set").agg(F.min("id").alias("like"))
     copies = sets.select("id", "set").join(first, "set").where("id <> like").select("id", "like", F.lit(1.0).alias("jaccard"))
     lead = sets.join(first, (sets["set"] == first["set"]) & (sets["id"] == first["like"]), "left_semi").dropDuplicates(["id"])
     band = lead.select("id", F.posexplode(F.array(*[F.xxhash64(F.slice("signature", i * rows + 1, rows)) for i in range(bands)])).alias("band", "key"))
-    least = band.groupBy("band", "key").agg(F.min("id").alias("like"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = band.join(least, ["band", "key"]).where("id <> like").select("id", "like").distinct()
-    of = lead.select("id", "shingles")
-    both = pairs.join(of, "id").join(of.select(F.col("id").alias("like"), F.col("shingles").alias("other")), "like")
-    shared = F.size(F.array_intersect("shingles", "other"))
-    scored = both.select("id", "like", (shared / (F.size("shingles") + F.size("other") - shared)).alias("jaccard"))
-    return scored.where(F.col("jaccard") >= similarity).unionByName(copies)
+    least = band.groupBy("band", "key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    stars = band.join(least, ["band", "key"]).where("id <> b").select(F.col("id").alias("a"), "b")
+    clusters = components(stars, scratch).withColumnRenamed("component", "cluster")
+    members = scratch.keep(lead.join(clusters, "id").select("cluster", "id", F.size("shingles").cast("long").alias("n_shingles"), "shingles"), "members")
+    # (blocks by size: a link needs sizes within the ratio of the threshold)
+    tasks = deal(members.select("cluster", "id", "n_shingles"), max(1, min(99, int(100 * similarity))), limit, most)
+    dealt = members.join(tasks, ["cluster", "id"]).select(F.xxhash64("cluster", "task").alias("deal"), "id", F.col("shingles"))
+
+    def run(t: pa.Table) -> pa.Table:
+        sets = [x.values.to_numpy() for x in t.column("shingles")]
+        found = _forest(t.column("id").to_numpy(), sets, similarity)
+        return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "like": pa.array([x[1] for x in found], pa.int64()), "jaccard": pa.array([x[2] for x in found], pa.float64())})
+
+    return dealt.groupBy("deal").applyInArrow(run, "id long, like long, jaccard double").distinct().unionByName(copies)
 
 
 def with_previous(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
