@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from vellumgrid.llm import fingerprints
+from vellumgrid.llm import fingerprints, toxicity
 
 
 def test_near_pairs_below_a_looser_smallest_id(spark):
@@ -25,3 +25,12 @@ def test_near_pairs_below_a_looser_smallest_id(spark):
             assert g.like < g.id and g.jaccard == pytest.approx(len(sets[g.id] & sets[g.like]) / len(sets[g.id] | sets[g.like])) and g.jaccard >= 0.8
             root = {k: root[g.like] if v == root[g.id] else v for k, v in root.items()}
         assert root[60] == root[61]
+
+
+def test_examples_that_share_a_passage_stay():
+    r = np.random.default_rng(4)
+    own = lambda n: [f"x{i}" for i in r.integers(0, 10**9, n)]
+    passage = own(60)
+    rows = [(" ".join([*passage, *own(60)]), i % 2) for i in range(50)]
+    copies = [(x.rsplit(" ", 1)[0] + " changed", y) for x, y in rows[:20]]
+    assert toxicity._apart(rows + copies) == rows

@@ -37,6 +37,8 @@ from .ngrams import logistic
 SAMPLE = 2000
 LONGEST = 50_000
 TERMS = 20_000
+#: Estimated Jaccard similarity of near copies.
+NEAR = 0.8
 STEMS = range(4, 9)
 EXCEPTIONS = ("trash can", "trash cans", "trash bin", "clown fish", "idiot proof", "pond scum")
 _LOOKALIKES = {
@@ -200,15 +202,20 @@ def _curve(totals: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 
 def _apart(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     """Examples without near copies of earlier ones, whose every word would look telling."""
-    seen: set[tuple[int, bytes]] = set()
-    out = []
+    seen: dict[tuple[int, bytes], list[int]] = {}
+    out, own = [], []
     for start in range(0, len(rows), 500):
         part = rows[start : start + 500]
         for row, minima in zip(part, signatures(pa.array([x for x, _ in part], pa.string()))):
-            bands = {(i, minima[i : i + 2].tobytes()) for i in range(0, len(minima), 2)}
-            if not bands & seen:
-                out.append(row)
-            seen |= bands
+            bands = [(i, minima[i : i + 4].tobytes()) for i in range(0, len(minima), 4)]
+            others = sorted({k for b in bands for k in seen.get(b, ())})
+            # (a shared passage gives a shared band; only sets that are as like as near copies count)
+            if others and (np.array([own[k] for k in others]) == minima).mean(axis=1).max() >= NEAR:
+                continue
+            for b in bands:
+                seen.setdefault(b, []).append(len(out))
+            out.append(row)
+            own.append(minima)
     return out
 
 
