@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from vellumgrid.llm import fingerprints, toxicity
+from vellumgrid.llm import fingerprints, quality, toxicity
 
 
 def test_near_pairs_below_a_looser_smallest_id(spark):
@@ -34,3 +34,14 @@ def test_examples_that_share_a_passage_stay():
     rows = [(" ".join([*passage, *own(60)]), i % 2) for i in range(50)]
     copies = [(x.rsplit(" ", 1)[0] + " changed", y) for x, y in rows[:20]]
     assert toxicity._apart(rows + copies) == rows
+
+
+def test_the_pool_has_no_label(spark):
+    rows = [(i, f"text {i}", "a", "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(30, None), (None, 1)], "doc_id long, quality int")
+    labelled, pool = quality.sample(docs, labels)
+    assert {r[0] for r in labelled} == {f"text {i}" for i in range(30)}
+    assert {r[0] for r in pool} == {f"text {i}" for i in range(30, 40)}
+    assert quality.sample(docs, docs.selectExpr("doc_id", "1 as quality"))[1] == []
+    assert quality.fit(labelled, []).meta is not None

@@ -164,7 +164,8 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, pool: int = P
     hashed = F.pmod(F.xxhash64(F.lit(31), F.col("doc_id")), F.lit(1 << 30))
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
     n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    total = docs.count()
+    labelled = labels.where("doc_id is not null and quality is not null").select("doc_id").distinct()
+    total = docs.select("doc_id").join(labelled, "doc_id", "left_anti").count()
     bar = lambda want, of: int(min(1.0, 1.3 * want / max(1, of)) * (1 << 30))
     few = F.broadcast(known.where(hashed <= F.when(F.col("label") == 1, bar(most, n.get(1, 1))).otherwise(bar(most, n.get(0, 1)))))  # about 1.3 * most rows of each class
     plain = docs.where(F.col("text").isNotNull() & (F.char_length("text") <= longest)).select("doc_id", hashed.alias("h"), F.col("text").alias("t"), F.col("source").cast("string").alias("s"), F.col("lang").cast("string").alias("l"))
@@ -172,7 +173,7 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, pool: int = P
     out = []
     for x in (0, 1):
         out += [(r["t"], r["s"], r["l"], x) for r in sorted((r for r in rows if r["label"] == x), key=lambda r: (r["h"], r["t"]))[:most]]
-    others = plain.where(F.col("h") <= bar(pool, total)).collect()
+    others = plain.where(F.col("h") <= bar(pool, total)).join(labelled, "doc_id", "left_anti").collect()
     return out, [(r["t"], r["s"], r["l"]) for r in sorted(others, key=lambda r: (r["h"], r["t"]))[:pool]]
 
 
