@@ -6,7 +6,7 @@ lost executor costs a task and never leaves half a file:
 ``code``    one row for each id that occurs: id, count, bits. The canonical code follows
             from the lengths alone.
 ``blocks``  one row for each block of about BLOCK ids, in ascending doc_id order:
-            shard, first (id number of the block in its shard), n_ids, doc_ids and sizes
+            shard, seq (number of its first document in the shard), n_ids, doc_ids and sizes
             (its documents, whole), checkpoints (the bit offset of every EVERY-th id),
             crc (of the packed bits), payload (the bits).
 
@@ -21,8 +21,6 @@ first. Other columns of the input are not stored.
 
 from __future__ import annotations
 
-import functools
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,115 +32,15 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, ship, table
 from .huffman import Code, code_lengths
+from .word_ids import ids_at
 
 MODEL = "word_bpe_49k.json"
 END = 2
 BLOCK = 65_536
 EVERY = 512
 MOST_BITS = 18
-WORDS_KEPT = 800_000
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: A full stop, and a comma, between a Latin letter and white space (or the end).
-STOP, COMMA = (re.compile(mark + rb"(?!\S)(?:(?<=[a-z].)|(?<=\xc3[\xa0-\xb6\xb8-\xbf].))") for mark in (rb"\.", rb","))
-
-
-def cut_marks(lowered: bytes) -> bytes:
-    return COMMA.sub(b" ,", STOP.sub(b" .", lowered))
-
-
-class WordIds:
-    """Ids of whole texts from a tokenizers file, by way of their words.
-
-    Text is cut at ASCII white space, which this pipeline drops and never tokenizes
-    across, so the ids of a text are those of its words in turn. Each new word goes
-    through the library once; its ids are kept as packed bytes. Where the file lowers all
-    letters and takes a full stop or comma after a word as a piece of its own, texts are
-    lowered and such marks cut off first, so that far fewer words are new; words in Latin
-    letters then only need the library's model. That this holds for the file at hand is
-    checked when it is loaded. Texts with a special string, in either case, are not lowered.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        if not self._separable():
-            raise ValueError("this tokenizer sees across white space")
-        self.known: dict[bytes, bytes] = {}
-        self.special = [t.content.lower().encode() for t in self.library.get_added_tokens_decoder().values()]
-        # the same model without the steps that do nothing to lower-case Latin letters
-        self.bare = Tokenizer(self.library.model)
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.simple = len(self.special) <= 16 and self._plain_words()
-
-    def _plain_words(self) -> bool:
-        """Whether case and a mark after a word's letters make no difference to the pieces."""
-        probe = ["Word", "éÀß.", "x,", "tHE.", "Ünïon", "aaaaaaaaaaaaaaaaaaaa,", "ST", "a.b.", "I'S,", "É,", "v2.", "ÑÑ", "İ.", "I\u0307x"]
-        lowered = [cut_marks(x.encode().lower()).decode() for x in probe]
-        latin = [x for x in probe if LATIN.fullmatch(x)]
-        return self.encode_library(probe) == self.encode_library(lowered) and self._pack(self.encode_library(latin)) == self._bare([x.lower() for x in latin])
-
-    @staticmethod
-    def _pack(ids: list[list[int]]) -> list[bytes]:
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        packed = np.fromiter((i for x in ids for i in x), "<u4", int(sizes.sum())).tobytes()
-        at = np.concatenate([[0], np.cumsum(sizes) * 4]).tolist()
-        return [packed[a:b] for a, b in zip(at, at[1:])]
-
-    def _bare(self, words: list[str]) -> list[bytes]:
-        got = self.bare.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids, of = np.array(got.ids, "<u4"), np.array(got.word_ids, np.int64)
-        at = (np.searchsorted(of, np.arange(len(words) + 1)) * 4).tolist()
-        packed = ids.tobytes()
-        return [packed[a:b] for a, b in zip(at, at[1:])]
-
-    def _separable(self) -> bool:
-        probe = "One two's\n thrée,\t4 ...  ﬁve <|endoftext|> x"
-        whole = self.encode_library([probe])[0]
-        return whole == sum(self.encode_library(probe.split()), []) and self.encode_library([" \t\n"])[0] == []
-
-    def encode_library(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def words(self, text: str) -> list[bytes]:
-        raw = text.encode("utf-8", "surrogatepass")
-        low = raw.lower()
-        if not self.simple or any(x in low for x in self.special):
-            return raw.split()
-        return cut_marks(low).split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        split = [self.words(x) for x in texts]
-        if len(self.known) > WORDS_KEPT:
-            self.known = {}
-        new = list(set().union(*split).difference(self.known)) if split else []
-        for start in range(0, len(new), 8192):
-            self._learn(new[start : start + 8192])
-        get = self.known.__getitem__
-        return [b"".join(map(get, x)) for x in split]
-
-    def _learn(self, new: list[bytes]) -> None:
-        latin: list[str] = []
-        keys: list[bytes] = []
-        rest: list[bytes] = []
-        for x, text in zip(new, b"\n".join(new).decode("utf-8", "surrogatepass").split("\n")):
-            if self.simple and LATIN.fullmatch(text):
-                keys.append(x)
-                latin.append(text)
-            else:
-                rest.append(x)
-        if keys:
-            self.known.update(zip(keys, self._bare("\n".join(latin).lower().split("\n"))))
-        if rest:
-            self.known.update(zip(rest, self._pack(self.encode_library([x.decode("utf-8", "surrogatepass") for x in rest]))))
-
-
-@functools.lru_cache(maxsize=2)
-def ids_at(path: str) -> WordIds:
-    return WordIds(path)
+#: Blocks that a reader decodes at once.
+TOGETHER = 16
 
 
 def _public(name: str) -> str:
@@ -157,54 +55,74 @@ def _ordered(docs: DataFrame, id: str, text: str) -> DataFrame:
     return plain.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
 
 
+def width_of(model: str) -> str:
+    """The numpy type that holds every id of a tokenizers file."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(model).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def tokenized(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", model: str | None = None, end: int | None = END) -> DataFrame:
-    """A kept table (shard, seq, doc_id, ids as packed 16- or 32-bit integers), ordered by doc_id over the shards."""
+    """A kept table (shard, seq, doc_id, ids packed as ``width_of`` the model says), ordered by doc_id over the shards."""
     path = model or _public(MODEL)
     ship(docs.sparkSession)
-    tail = b"" if end is None else np.array([end], "<u4").tobytes()
+    width = width_of(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seq = ids_at(path), 0
-        for whole in batches:
-            for start in range(0, whole.num_rows, 128):
-                batch = whole.slice(start, 128)
-                ids = [x + tail for x in words.encode(batch.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(range(seq, seq + len(ids)), pa.int64()), batch.column("doc_id"), pa.array([_narrow(x) for x in ids], pa.binary())], names=["shard", "seq", "doc_id", "ids"])
-                seq += len(ids)
+        for batch in batches:
+            ids, to = words.encode(batch.column("text"))
+            if end is not None:
+                ids, to = _ended(ids, to, end)
+            n = batch.num_rows
+            packed = ids.astype(width)
+            offsets = pa.py_buffer((to * packed.itemsize).astype(np.int32).tobytes())
+            column = pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(packed.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(np.arange(seq, seq + n)), batch.column("doc_id"), column], names=["shard", "seq", "doc_id", "ids"])
+            seq += n
 
     source = _ordered(docs, id, text).select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     return scratch.keep(source.mapInArrow(run, "shard int, seq long, doc_id long, ids binary"), "ids")
 
 
-def _narrow(packed: bytes) -> bytes:
-    """A byte 2 or 4, then the ids in as many bytes each."""
-    ids = np.frombuffer(packed, "<u4")
-    return b"\x02" + ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else b"\x04" + packed
+def _ended(ids: np.ndarray, to: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end`` after each text's."""
+    to = to + np.arange(len(to))
+    out, own = np.empty(to[-1], np.int64), np.ones(to[-1], bool)
+    own[to[1:] - 1] = False
+    out[own], out[~own] = ids, end
+    return out, to
 
 
-def _wide(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, "<u2" if packed[:1] == b"\x02" else "<u4", offset=1).astype(np.uint32)
+def _packed(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids of a column of packed ids, n+1 offsets of its rows in them)."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    whole = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return whole.view(width), (at - at[0]) // np.dtype(width).itemsize
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        got = np.bincount(np.concatenate([_wide(x) for x in batch.column("ids").to_pylist()] or [np.zeros(0, np.uint32)]))
-        if len(got) > len(total):
+def _counts(width: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            got = np.bincount(_packed(batch.column("ids"), width)[0], minlength=len(total))
             got[: len(total)] += total
             total = got
-        else:
-            total[: len(got)] += got
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "count"])
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "count"])
+
+    return run
 
 
 def write_store(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", model: str | None = None, end: int | None = END, block: int = BLOCK, every: int = EVERY, most: int = MOST_BITS) -> None:
     """Tokenize every whole text and write the store below ``path``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
+    model = model or _public(MODEL)
+    width = width_of(model)
     ids = tokenized(docs, scratch, id, text, model, end)
-    code = ids.select("ids").mapInArrow(_counts, "id long, count long").groupBy("id").agg(F.sum("count").alias("count")).collect()  # bounded by the vocabulary
+    code = ids.select("ids").mapInArrow(_counts(width), "id long, count long").groupBy("id").agg(F.sum("count").alias("count")).collect()  # bounded by the vocabulary
     counts = np.zeros(max((r["id"] for r in code), default=-1) + 1, np.int64)
     for r in code:
         counts[r["id"]] = r["count"]
@@ -227,12 +145,13 @@ def write_store(docs: DataFrame, path: str, id: str = "doc_id", text: str = "tex
 
         n = 0
         for batch in batches:
-            for shard, seq, doc, packed in zip(*(batch.column(c).to_pylist() for c in ("shard", "seq", "doc_id", "ids"))):
+            every_id, to = _packed(batch.column("ids"), width)
+            for shard, seq, doc, a, b in zip(*(batch.column(c).to_pylist() for c in ("shard", "seq", "doc_id")), to.tolist(), to[1:].tolist()):
                 if held and (held[0][0] != shard or held[-1][1] != seq - 1):
                     yield flush()
                     n = 0
-                held.append((shard, seq, doc, _wide(packed)))
-                n += len(held[-1][3])
+                held.append((shard, seq, doc, every_id[a:b]))
+                n += b - a
                 if n >= block:
                     yield flush()
                     n = 0
@@ -269,21 +188,29 @@ def read_store(spark: SparkSession, path: str, ids: bool = True, every: int = EV
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Code(sent.value)
-        for batch in batches:
-            for row in batch.to_pylist():
-                if zlib.crc32(row["payload"]) != row["crc"]:
-                    raise ValueError(f"block {row['shard']}/{row['seq']} is damaged")
-                at = np.array(row["checkpoints"], np.int64)
-                sizes = np.full(len(at), every)
-                sizes[-1:] = row["n_ids"] - every * (len(at) - 1)
-                got = coder.decode(row["payload"], at, sizes).astype("<u4")
-                ends = np.cumsum(row["sizes"])
-                parts = [got[e - n : e].tobytes() for e, n in zip(ends, row["sizes"])]
-                columns = [pa.array([row["shard"]] * len(parts), pa.int32()), pa.array([row["seq"]] * len(parts), pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(ends - row["sizes"], pa.int64()), pa.array(row["sizes"], pa.int64()), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+        for whole in batches:
+            for start in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(start, TOGETHER)
+                payloads = batch.column("payload").to_pylist()
+                for shard, seq, crc, payload in zip(*(batch.column(c).to_pylist() for c in ("shard", "seq", "crc")), payloads):
+                    if zlib.crc32(payload) != crc:
+                        raise ValueError(f"block {shard}/{seq} is damaged")
+                n_ids, points = (batch.column(c).to_numpy() for c in ("n_ids", "n_points"))
+                at = batch.column("checkpoints").flatten().to_numpy() + np.repeat(8 * (np.cumsum([len(x) for x in payloads]) - [len(x) for x in payloads]), points)
+                # stretches are of ``every`` ids, but for the last one of each block
+                segments, last = np.full(len(at), every), np.cumsum(points) - 1
+                segments[last[points > 0]] = (n_ids - every * (points - 1))[points > 0]
+                got = coder.decode(b"".join(payloads), at, segments).astype("<u4")
+                sizes, n_docs = batch.column("sizes").flatten().to_numpy(), batch.column("n_docs").to_numpy()
+                ends, block_ends = np.cumsum(sizes), np.cumsum(n_ids)
+                within = ends - sizes - np.repeat(block_ends - n_ids, n_docs)
+                parts = [got[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist())]
+                columns = [pa.array(np.repeat(batch.column("shard").to_numpy(), n_docs)), pa.array(np.repeat(batch.column("seq").to_numpy(), n_docs)), batch.column("doc_ids").flatten(), pa.array(within), pa.array(sizes), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array(parts, pa.binary())] if ids else [])], names=names)
 
     names = ["shard", "seq", "doc_id", "within", "n_tokens", "ids_crc32", *(["ids"] if ids else [])]
-    docs = blocks.mapInArrow(run, "shard int, seq long, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
+    whole = blocks.withColumns({"n_docs": F.size("sizes").cast("long"), "n_points": F.size("checkpoints").cast("long")})
+    docs = whole.mapInArrow(run, "shard int, seq long, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
     return docs.join(starts, ["shard", "seq"]).select("doc_id", (F.col("block_start") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if ids else []))
 
 
