@@ -1,9 +1,11 @@
 """What the operators must not lose, each against the case that was once lost."""
 
+import re
+
 import numpy as np
 import pytest
 
-from vellumgrid.llm import fingerprints, quality, toxicity
+from vellumgrid.llm import fingerprints, near_dedup, quality, toxicity
 
 
 def test_near_pairs_below_a_looser_smallest_id(spark):
@@ -45,3 +47,42 @@ def test_the_pool_has_no_label(spark):
     assert {r[0] for r in pool} == {f"text {i}" for i in range(30, 40)}
     assert quality.sample(docs, docs.selectExpr("doc_id", "1 as quality"))[1] == []
     assert quality.fit(labelled, []).meta is not None
+
+
+def _components(rows, percent=85):
+    """Per row (id, set size, component, kept), by comparing every two rows."""
+    words = [[w for w in re.split("[ \t-\r]+", (t or "").lower()) if w] for _, t in rows]
+    sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for w in words]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = rows[i][0], rows[j][0]
+            if sets[i] and sets[j] and None not in (a, b) and (a == b or 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])):
+                root = [root[j] if x == root[i] else x for x in root]
+    least = lambda i: min((rows[j][0] for j in range(len(rows)) if root[j] == root[i] and rows[j][0] is not None), default=None)
+    return sorted((repr((rows[i][0], len(sets[i]), least(i), least(i) == rows[i][0])) for i in range(len(rows))))
+
+
+def test_ids_with_several_texts(spark, same):
+    """An id with two texts is linked with the near copies of both, whatever the order of its rows."""
+    r = np.random.default_rng(6)
+    text = lambda: [f"w{x}" for x in r.integers(0, 10**9, 200)]
+    a, b, c, d = (text() for _ in range(4))
+    near = lambda t, i: " ".join([*t[:-1], f"x{i}"])
+    whole = " ".join
+    rows = [(5, whole(a)), (5, whole(b)), (7, near(b, 7)), (9, near(a, 9)), (3, near(d, 3)), (8, whole(d)), (8, whole(c)), (10, near(c, 10)), (11, whole(c)), (5, None), (5, whole(b)), (None, whole(a)), (12, "one"), (12, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for order in (rows, rows[::-1]):
+        got = near_dedup.near_duplicates(spark.createDataFrame(order, docs.schema)).collect()
+        assert sorted(repr((x.id, x.n_shingles, x.component_id, x.kept)) for x in got) == _components(rows)
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    sql = con.execute(near_dedup.OP3_SQL).fetchall()
+    names = [x[0] for x in con.description]
+    assert sorted(repr(tuple(dict(zip(names, x))[c] for c in ("doc_id", "n_shingles", "component_id", "kept"))) for x in sql) == _components(rows)
+    left = near_dedup.deduplicated(docs).collect()
+    assert {(x.doc_id, x.text) for x in left} == {(None, whole(a)), (3, near(d, 3)), (5, min(whole(a), whole(b))), (12, "one")} and len(left) == 4
+    pairs = {(x.id, x.like) for x in fingerprints.near_pairs(fingerprints.fingerprints(docs)).collect()}
+    assert pairs == {(7, 5), (9, 5), (8, 3), (10, 8), (11, 8)}

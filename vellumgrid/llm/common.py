@@ -49,10 +49,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-        self.made: dict[int, str] = {}
+        self.made: set[str] = set()
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}-{len(self.made)}-{uuid.uuid4().hex[:8]}"
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back; its shuffle files go once it is written."""
@@ -65,13 +65,20 @@ class Scratch:
         finally:
             conf.set(key, before)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.made[len(self.made)] = path
+        self.made.add(path)
         out._scratch_path = path
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         for df in tables:
             self.delete(df._scratch_path)
+            self.made.discard(df._scratch_path)
+
+    def clear(self, *stay: DataFrame) -> None:
+        """Delete all tables kept so far but ``stay``, which nothing returned may read."""
+        for path in self.made - {df._scratch_path for df in stay}:
+            self.delete(path)
+        self.made = {df._scratch_path for df in stay}
 
     def delete(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm

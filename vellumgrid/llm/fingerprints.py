@@ -29,9 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, ship, table
 from .components import components
-from .near_dedup import CLUSTER, MEMBERS
-from .near_dedup import _deal as deal
-from .near_dedup import _Postings as Postings
+from .near_dedup import CLUSTER, MEMBERS, Postings, deal
 from .shingles import Permutations, bytes_of, pieces, shingles_of, words_of
 
 PERMUTATIONS = 128
@@ -119,32 +117,32 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[
 def near_pairs(prints: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, scratch: Scratch | None = None, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
     """(id, like, jaccard): links of ids to smaller ones whose whole sets are as similar as asked.
 
-    Every two documents that share a band are compared, and those of a cluster that are
-    linked by any chain of similar pairs are linked by the rows returned. Documents of
-    equal sets are first reduced to their smallest id, which they are linked to with
-    jaccard 1.
+    Every two sets that share a band are compared, and those of a cluster that are linked
+    by any chain of similar pairs are linked by the rows returned. Rows of equal sets are
+    first reduced to their smallest id, which they are linked to with jaccard 1. An id
+    with several texts stands for each of its sets; rows with a null id have no link.
     """
     scratch = scratch or Scratch(prints.sparkSession, "prints")
     rows = PERMUTATIONS // bands
-    sets = prints.where(F.size("shingles") > 0).withColumn("set", F.sha2(F.array_join(F.col("shingles").cast("array<string>"), ","), 256))
-    first = sets.groupBy("set").agg(F.min("id").alias("like"))
-    copies = sets.select("id", "set").join(first, "set").where("id <> like").select("id", "like", F.lit(1.0).alias("jaccard"))
-    lead = sets.join(first, (sets["set"] == first["set"]) & (sets["id"] == first["like"]), "left_semi").dropDuplicates(["id"])
-    band = lead.select("id", F.posexplode(F.array(*[F.xxhash64(F.slice("signature", i * rows + 1, rows)) for i in range(bands)])).alias("band", "key"))
-    least = band.groupBy("band", "key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = band.join(least, ["band", "key"]).where("id <> b").select(F.col("id").alias("a"), "b")
-    clusters = components(stars, scratch).withColumnRenamed("component", "cluster")
-    members = scratch.keep(lead.join(clusters, "id").select("cluster", "id", F.size("shingles").cast("long").alias("n_shingles"), "shingles"), "members")
+    sets = prints.where((F.size("shingles") > 0) & F.col("id").isNotNull()).withColumn("set", F.sha2(F.array_join(F.col("shingles").cast("array<string>"), ","), 256))
+    classes = sets.groupBy("set").agg(F.min("id").alias("head"), F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
+    classes = scratch.keep(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
+    copies = sets.select("id", "set").join(classes.select("set", F.col("head").alias("like")), "set").where("id <> like").select("id", "like", F.lit(1.0).alias("jaccard")).distinct()
+    band = classes.select("no", F.posexplode(F.array(*[F.xxhash64(F.slice("signature", i * rows + 1, rows)) for i in range(bands)])).alias("band", "key"))
+    least = band.groupBy("band", "key").agg(F.min("no").alias("b"), F.max("no").alias("last")).where("b < last").drop("last")
+    stars = band.join(least, ["band", "key"]).where("no <> b").select(F.col("no").alias("a"), "b")
+    clusters = components(stars, scratch).select(F.col("id").alias("no"), F.col("component").alias("cluster"))
+    members = scratch.keep(classes.join(clusters, "no").select("cluster", "no", "head", F.size("shingles").cast("long").alias("n_shingles"), "shingles"), "members")
     # (blocks by size: a link needs sizes within the ratio of the threshold)
-    tasks = deal(members.select("cluster", "id", "n_shingles"), max(1, min(99, int(100 * similarity))), limit, most)
-    dealt = members.join(tasks, ["cluster", "id"]).select(F.xxhash64("cluster", "task").alias("deal"), "id", F.col("shingles"))
+    tasks = deal(members, scratch, max(1, min(99, int(100 * similarity))), limit, most)
+    dealt = tasks.select("cluster", F.explode("tasks").alias("task"), "head", "shingles").select(F.xxhash64("cluster", "task").alias("deal"), "head", "shingles")
 
     def run(t: pa.Table) -> pa.Table:
         sets = [x.values.to_numpy() for x in t.column("shingles")]
-        found = _forest(t.column("id").to_numpy(), sets, similarity)
+        found = _forest(t.column("head").to_numpy(), sets, similarity)
         return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "like": pa.array([x[1] for x in found], pa.int64()), "jaccard": pa.array([x[2] for x in found], pa.float64())})
 
-    return dealt.groupBy("deal").applyInArrow(run, "id long, like long, jaccard double").distinct().unionByName(copies)
+    return dealt.groupBy("deal").applyInArrow(run, "id long, like long, jaccard double").where("id <> like").distinct().unionByName(copies)
 
 
 def with_previous(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

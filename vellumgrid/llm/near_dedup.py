@@ -2,9 +2,9 @@
 
 1. One pass over the texts takes each document's set of distinct shingles. Every one of
    BUCKETS seeded hashes keeps, of its minimum over the set, the count of leading zeros
-   and the MANTISSA bits after the first one: a 16-bit register. Documents of equal sets
-   (a 128-bit digest) become one class, named by its smallest id, so copies cost nothing
-   further.
+   and the MANTISSA bits after the first one: a 16-bit register. Rows of equal sets
+   (a 128-bit digest) become one class with a number of its own, so copies cost nothing
+   further, and an id that has several texts has a class for each.
 2. BANDS bands of ROWS registers are grouped. Each class of a group is linked to the
    smallest one: stars, not pairs. Their connected components are the clusters; every
    pair that shares a band lies in one cluster.
@@ -17,14 +17,18 @@
    threshold's ratio, so only neighbouring levels meet) and then by hash into blocks, and
    every pair of blocks that could hold a link meets in a task of its own. That is the
    exact way for what is too large; nothing is capped.
-4. Components of the confirmed links, then of the copies.
+   Only rows whose id stands for a clustered class are read again for this.
+4. Components of the confirmed links and of the classes that share an id; the smallest id
+   of a component names it.
 
 What can be lost: a link whose two sets share no band. At the threshold of 0.85 that has
 a probability of (1 - 0.85**5)**32 < 1e-8; above it, less.
 
 Edge cases: null or empty texts and texts without a word have the empty set and no link;
-an empty table gives an empty result; repeated rows with one id are each returned and
-share its component; rows with a null id are linked with nothing and kept.
+an empty table gives an empty result; every row is returned. Rows that repeat an id are
+judged by their own texts, each with its own set, and those with a set are linked with
+each other, so they share a component (a row of the empty set is linked with nothing, not
+even with other rows of its id). Rows with a null id are linked with nothing and kept.
 """
 
 from __future__ import annotations
@@ -51,6 +55,8 @@ PERCENT = 85
 DEVIATIONS = 7.0
 CLUSTER = 1_000_000
 MEMBERS = 1024
+#: Ids, counted, that may go to all executors: some 64 MB there.
+SENT = 2_000_000
 _hashes: list[Permutations] = []
 
 
@@ -107,38 +113,43 @@ def sketches(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
             for batch in pieces(whole, "text"):
                 data, at = bytes_of(batch.column("text"))
                 hashes, to = shingles_of(*words_of(data, at), WIDTH)
-                size, digest, least, has = [], [], [], []
+                size, digests, least, has = [], [], [], []
                 for a, b in zip(to, to[1:]):
                     own = np.unique(hashes[a:b])
                     size.append(len(own))
                     has.append(len(own) > 0)
-                    digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                    digests.append(digest(own))
                     least.append(p.minima(own) if len(own) else np.zeros(BUCKETS, np.uint64))
                 packed = registers(np.array(least)).tobytes()
                 step = 2 * BUCKETS
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array([packed[i * step : (i + 1) * step] if h else None for i, h in enumerate(has)], pa.binary())], names=["id", "n_shingles", "set", "sketch"]
+                    [batch.column("id"), pa.array(size, pa.int64()), pa.array(digests, pa.binary()), pa.array([packed[i * step : (i + 1) * step] if h else None for i, h in enumerate(has)], pa.binary())], names=["id", "n_shingles", "set", "sketch"]
                 )
 
     return source.mapInArrow(run, "id long, n_shingles long, set binary, sketch binary")
 
 
-def sets_of(docs: DataFrame, id: str, text: str, also: list[str]) -> DataFrame:
-    """(``also``, id, shingles: packed sorted distinct hashes)."""
+def digest(shingles: np.ndarray) -> bytes | None:
+    """The address of a set of sorted distinct shingles; None for the empty set."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
+def sets_of(docs: DataFrame, text: str) -> DataFrame:
+    """(set: digest, shingles: packed sorted distinct hashes) of whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole, "text"):
                 data, at = bytes_of(batch.column("text"))
                 hashes, to = shingles_of(*words_of(data, at), WIDTH)
-                sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(to, to[1:])]
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in [*also, "id"]], pa.array(sets, pa.binary())], names=[*also, "id", "shingles"])
+                sets = [np.unique(hashes[a:b]) for a, b in zip(to, to[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array([digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["set", "shingles"])
 
-    source = docs.select(*also, F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return source.mapInArrow(run, source.drop("text").schema.add("shingles", "binary"))
+    source = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    return source.mapInArrow(run, "set binary, shingles binary")
 
 
-class _Postings:
+class Postings:
     """For sets in order: which sets hold each value of the k-th one."""
 
     def __init__(self, sets: list[np.ndarray]):
@@ -178,7 +189,7 @@ def forest(ids: np.ndarray, sets: list[np.ndarray], sketch: np.ndarray, percent:
             continue
         rest = rest[corrected((sketch[rest] == sketch[k]).sum(axis=1), int(size[k]), size[rest]) >= margin]
         if len(rest) > 8:
-            postings = postings or _Postings(sets)
+            postings = postings or Postings(sets)
             shared = postings.shared(k)[rest]
         else:
             shared = np.array([len(np.intersect1d(sets[k], sets[j], assume_unique=True)) for j in rest], np.int64)
@@ -191,87 +202,104 @@ def forest(ids: np.ndarray, sets: list[np.ndarray], sketch: np.ndarray, percent:
     return out
 
 
-def _deal(members: DataFrame, percent: int, limit: int, most: int) -> DataFrame:
-    """(cluster, id, task): clusters up to ``limit`` shingles and ``most`` members whole, larger ones as pairs of blocks."""
-    load = F.greatest(F.sum("n_shingles") / limit, F.count("*") / most)
-    total = members.groupBy("cluster").agg(load.alias("all"))
+def deal(members: DataFrame, scratch: Scratch, percent: int, limit: int, most: int, by: str = "no") -> DataFrame:
+    """``members`` (cluster, n_shingles and more) plus tasks: the names of those in which a member is compared.
+
+    Clusters up to ``limit`` shingles and ``most`` members are one task. Larger ones, of
+    which there are at most the input's size divided by the limits, are divided by level
+    of size and hash of ``by`` into blocks; a task is a pair of blocks.
+    """
     level = F.floor(F.log(F.col("n_shingles").cast("double")) / -np.log(percent / 100)).cast("int")
-    sized = members.join(total, "cluster").withColumn("level", F.when(F.col("all") <= 1, -9).otherwise(level))
-    blocks = sized.groupBy("cluster", "level").agg(F.when(F.col("level") < -1, 1).otherwise(F.ceil(2 * load)).cast("int").alias("blocks"))
-    per = blocks.select("cluster", F.col("level").alias("at"), "blocks")
-    joined = sized.join(per, (sized["cluster"] == per["cluster"]) & per["at"].between(sized["level"] - 1, sized["level"] + 1)).select(sized["*"], "at", "blocks")
-    mine = joined.groupBy("cluster", "id", "n_shingles", "level").agg(F.max(F.when(F.col("at") == F.col("level"), F.col("blocks"))).alias("own"), F.max(F.when(F.col("at") == F.col("level") + 1, F.col("blocks"))).alias("up"), F.max(F.when(F.col("at") == F.col("level") - 1, F.col("blocks"))).alias("down"))
-    b = F.pmod(F.xxhash64("id"), F.col("own")).cast("int")
+    per = members.groupBy("cluster", level.alias("level")).agg(F.sum("n_shingles").alias("n"), F.count("*").alias("rows"))
+    load = F.greatest(F.col("n") / limit, F.col("rows") / most)
+    whole = per.groupBy("cluster").agg(F.greatest(F.sum("n") / limit, F.sum("rows") / most).alias("load"), F.collect_list(F.struct("level", F.ceil(2 * load).cast("int").alias("blocks"))).alias("levels"))
+    large = scratch.keep(whole.where("load > 1").select("cluster", F.map_from_entries("levels").alias("blocks")), "large")
+    blocks = lambda step: F.element_at("blocks", F.col("level") + step)
+    b = F.pmod(F.xxhash64(by), blocks(0)).cast("int")
     name = lambda lo, i, j, kind: F.concat_ws("/", F.lit(kind), lo.cast("string"), i.cast("string"), j.cast("string"))
     count = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    none = F.array().cast("array<string>")
-    same = F.transform(count(F.col("own")), lambda k: name(F.col("level"), F.least(b, k), F.greatest(b, k), "s"))
-    up = F.when(F.col("up").isNotNull(), F.transform(count(F.col("up")), lambda k: name(F.col("level"), b, k, "u"))).otherwise(none)
-    down = F.when(F.col("down").isNotNull(), F.transform(count(F.col("down")), lambda k: name(F.col("level") - 1, k, b, "u"))).otherwise(none)
-    return mine.select("cluster", "id", F.explode(F.concat(same, up, down)).alias("task"))
-
-
-def confirmed(docs: DataFrame, members: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
-    """A spanning forest (a, b) of the links within the clusters ``members`` (cluster, id, n_shingles, sketch)."""
-    tasks = _deal(members.select("cluster", "id", "n_shingles"), percent, limit, most)
-    wanted = members.select("cluster", F.col("id").alias("__id"), "sketch")
-    # (rows that repeat an id are told apart after the join, when few rows are left)
-    texts = wanted.join(docs.select(F.col(f"`{id}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("__text")), "__id").dropDuplicates(["__id"])
-    sets = sets_of(texts, "__id", "__text", ["cluster", "sketch"])
-    dealt = sets.join(tasks, ["cluster", "id"]).select(F.xxhash64("cluster", "task").alias("deal"), "id", "sketch", "shingles")
+    same = F.transform(count(blocks(0)), lambda k: name(F.col("level"), F.least(b, k), F.greatest(b, k), "s"))
+    up = F.transform(count(blocks(1)), lambda k: name(F.col("level"), b, k, "u"))
+    down = F.transform(count(blocks(-1)), lambda k: name(F.col("level") - 1, k, b, "u"))
+    dealt = members.withColumn("level", level).join(large, "cluster", "left")
+    return dealt.withColumn("tasks", F.when(F.col("blocks").isNull(), F.array(F.lit("whole"))).otherwise(F.concat(same, up, down))).drop("level", "blocks")
+
+
+def only(docs: DataFrame, ids: DataFrame, id: str, how: str = "left_semi", most: int = SENT) -> DataFrame:
+    """The rows of ``docs`` whose id is in (or, ``left_anti``, isn't in) the kept table ``ids`` (__id).
+
+    Up to ``most`` ids, as counted, go to all executors, so that no text is shuffled.
+    """
+    few = ids.count() <= most
+    return docs.join(F.broadcast(ids) if few else ids, F.col(f"`{id}`").cast("long") == F.col("__id"), how)
+
+
+def confirmed(docs: DataFrame, members: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", percent: int = PERCENT, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
+    """A spanning forest (a, b) of the links within the clusters ``members`` (cluster, no, head, n_shingles, set, sketch)."""
+    heads = scratch.keep(members.select(F.col("head").alias("__id")).distinct(), "heads")
+    # (an id may repeat, with one text or several: a set is wanted once, and only if it is a member's)
+    sets = sets_of(only(docs.select(F.col(f"`{id}`"), F.col(f"`{text}`")), heads, id), text).dropDuplicates(["set"])
+    tasks = deal(members.select("cluster", "no", "n_shingles", "set", "sketch"), scratch, percent, limit, most)
+    dealt = sets.join(tasks, "set").select("cluster", F.explode("tasks").alias("task"), "no", "sketch", "shingles")
 
     def run(t: pa.Table) -> pa.Table:
-        ids = t.column("id").to_numpy()
+        numbers = t.column("no").to_numpy()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]
         sketch = np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in t.column("sketch")])
-        found = forest(ids, sets, sketch, percent)
+        found = forest(numbers, sets, sketch, percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    return dealt.groupBy("deal").applyInArrow(run, "a long, b long")
+    return dealt.select(F.xxhash64("cluster", "task").alias("deal"), "no", "sketch", "shingles").groupBy("deal").applyInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, scratch: Scratch | None = None, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each row of ``docs``."""
-    scratch = scratch or Scratch(docs.sparkSession, "near")
+    scratch = Scratch(docs.sparkSession, "near")
     all_docs = scratch.keep(sketches(docs, id, text), "sketches")
     sets = all_docs.where("set is not null and id is not null")
-    classes = scratch.keep(sets.groupBy("set").agg(F.min("id").alias("head"), F.max("id").alias("tail")), "classes")
-    heads = sets.join(classes.select("set", F.col("head").alias("id")), ["set", "id"], "left_semi").select("id", "n_shingles", "sketch")
-    # (repeated rows of one id may have different texts: the first set in order stands for the id here, the others meet it below)
-    heads = heads.groupBy("id").agg(F.max(F.struct("n_shingles", "sketch")).alias("x")).select("id", "x.n_shingles", "x.sketch")
+    classes = sets.groupBy("set").agg(F.min("id").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    classes = scratch.keep(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
     width = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width)) for i in range(BANDS)])
-    bands = heads.where("n_shingles > 1").select("id", F.explode(keys).alias("key"))
-    least = bands.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last").select("key", "head")
-    stars = bands.join(least, "key").where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    bands = classes.where("n_shingles > 1").select("no", F.explode(keys).alias("key"))
+    least = bands.groupBy("key").agg(F.min("no").alias("first"), F.max("no").alias("last")).where("first < last").select("key", "first")
+    stars = bands.join(least, "key").where("no <> first").select(F.col("no").alias("a"), F.col("first").alias("b"))
     clusters = components(stars, scratch)
-    members = scratch.keep(heads.join(clusters.withColumnRenamed("component", "cluster"), "id").select("cluster", "id", "n_shingles", "sketch"), "members")
-    links = scratch.keep(confirmed(docs, members, id, text, percent, limit, most), "confirmed")
-    joined = components(links, scratch)
-    # every set's class goes to the component of its smallest id
-    heads_of = classes.select("set", "head").join(joined.select(F.col("id").alias("head"), "component"), "head", "left").select("set", F.coalesce("component", "head").alias("component"))
-    out = all_docs.select("id", "n_shingles", "set").join(heads_of, "set", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    members = scratch.keep(classes.join(clusters.select(F.col("id").alias("no"), F.col("component").alias("cluster")), "no"), "members")
+    links = scratch.keep(confirmed(docs, members, scratch, id, text, percent, limit, most), "confirmed")
+    # classes that an id has beside its first one are linked with that
+    often = sets.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
+    several = sets.join(often, "id", "left_semi").select("id", "set").distinct().join(classes.select("set", "no"), "set")
+    own = several.join(several.groupBy("id").agg(F.min("no").alias("a")), "id").where("no <> a").select("a", F.col("no").alias("b"))
+    joined = components(links.unionByName(own), scratch).select(F.col("id").alias("no"), "component")
+    linked = scratch.keep(classes.select("no", "head").join(joined, "no"), "linked")
+    named = linked.join(linked.groupBy("component").agg(F.min("head").alias("least")), "component").select("no", "least")
+    heads_of = classes.select("no", "set", "head").join(named, "no", "left").select("set", F.coalesce("least", "head").alias("component"))
+    out = all_docs.select("id", "n_shingles", "set").join(heads_of, "set", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
     done = scratch.keep(out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))), "near")
-    scratch.drop(all_docs, classes, members, links)
+    scratch.clear(done)
     return done
 
 
-def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
+def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stand for their group of near duplicates.
 
-    Of rows that repeat an id the one with the smallest text stays; rows with a null id
-    all stay.
+    An id goes, with all its rows, if a row of it has a smaller id in its group. Of rows
+    that repeat an id that stays, the one with the smallest text stays, an empty one only
+    if there is no other; rows with a null id all stay.
     """
-    near = near_duplicates(docs, id, text, percent, scratch).where("kept and id is not null").select("id")
-    again = near.groupBy("id").count().where("count > 1").select("id")
-    heads = near.distinct()
-    own = docs.join(heads, docs[id] == heads["id"], "left_semi")
+    scratch = Scratch(docs.sparkSession, "near")
+    near = near_duplicates(docs, id, text, percent).where("id is not null")
+    per = scratch.keep(near.groupBy("id").agg(F.min("component_id").alias("least"), F.count("*").alias("rows")).where("least < id or rows > 1").select(F.col("id").alias("__id"), (F.col("least") < F.col("id")).alias("gone")), "gone")
+    own = only(docs, per.where("gone").select("__id"), id, "left_anti")
+    again = per.where("not gone").select("__id")
     if not again.isEmpty():
-        once = own.join(again, own[id] == again["id"], "left_anti")
-        more = own.join(again, own[id] == again["id"], "left_semi")
-        row, order = F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
-        own = once.unionByName(more.groupBy(F.col(f"`{id}`").alias("__id")).agg(F.min_by(row, order).alias("__row")).select("__row.*"))
-    return own.unionByName(docs.where(F.col(f"`{id}`").isNull()))
+        columns = [F.col(f"`{c}`") for c in docs.columns]
+        words = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+        order = F.struct(words == "", words, F.xxhash64(F.to_json(F.struct(*columns))))
+        firsts = only(own, again, id).groupBy(F.col(f"`{id}`").alias("__id")).agg(F.min_by(F.struct(*columns), order).alias("__row")).select("__row.*")
+        own = only(own, again, id, "left_anti").unionByName(firsts)
+    return own
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,13 +307,13 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = f"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS l FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(l[i : i + {WIDTH - 1}], ' ') AS g FROM (SELECT doc_id, l, unnest(range(1, greatest(len(l) - {WIDTH - 2}, 2))) AS i FROM w WHERE len(l) > 0)),
-n AS (SELECT doc_id, count(*) AS k FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= {PERCENT} * (a.k + b.k - c)),
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS l FROM documents),
+s AS (SELECT DISTINCT r, doc_id, array_to_string(l[i : i + {WIDTH - 1}], ' ') AS g FROM (SELECT r, doc_id, l, unnest(range(1, greatest(len(l) - {WIDTH - 2}, 2))) AS i FROM w WHERE len(l) > 0)),
+n AS (SELECT r, doc_id, count(*) AS k FROM s GROUP BY r, doc_id),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r < b.r WHERE a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= {PERCENT} * (a.k + b.k - c) UNION SELECT a.r, b.r FROM n a JOIN n b ON a.doc_id = b.doc_id AND a.r < b.r),
 u AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
-r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, u.y FROM r JOIN u ON r.y = u.x),
-m AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
-SELECT w.doc_id, coalesce(k, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w JOIN m ON m.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+t AS (SELECT r AS x, r AS y FROM w UNION SELECT t.x, u.y FROM t JOIN u ON t.y = u.x),
+m AS (SELECT x AS r, min(doc_id) AS component_id FROM t JOIN w ON w.r = t.y GROUP BY x)
+SELECT w.doc_id, coalesce(k, 0) AS n_shingles, component_id, w.doc_id IS NOT DISTINCT FROM component_id AS kept FROM w JOIN m ON m.r = w.r LEFT JOIN n ON n.r = w.r
 """
