@@ -31,6 +31,11 @@ def summary(files: DataFrame) -> DataFrame:
     return files.groupBy(status.alias("status")).agg(F.count("*").alias("files"), F.sum(F.when(F.col("success"), F.col("final_bytes")).otherwise(0)).cast("long").alias("bytes"))
 
 
+def grown(files: DataFrame) -> DataFrame:
+    """(name, orig_size, final_bytes, kb, growth): sizes with kilobytes rounded down and the growth in percent."""
+    return files.select("name", "orig_size", "final_bytes", F.expr("final_bytes div 1024").alias("kb"), growth().alias("growth"))
+
+
 def growth(orig: str = "orig_size", final: str = "final_bytes"):
     """Growth in percent; null for an empty original."""
     return F.try_divide((F.col(final) - F.col(orig)) * 100.0, F.col(orig))

@@ -95,13 +95,13 @@ def in_columns(lines: DataFrame, page_gutters: DataFrame, page: Page = PAGE, rul
     return cut.where("is_header or __x1 > __x0").withColumns({"x0": F.col("__x0"), "x1": F.col("__x1")}).drop("__x0", "__x1", "__k", "gutters")
 
 
-def stories(placed: DataFrame, rules: Columns = RULES) -> DataFrame:
-    """(page_id, line_no, is_header, col, sub, seg_no, line_in_seg, note, and the box) in reading order.
+def stories(placed: DataFrame, rules: Columns = RULES, also: tuple[str, ...] = ()) -> DataFrame:
+    """(page_id, line_no, is_header, col, sub, seg_no, line_in_seg, note, the box, and the columns ``also``) in reading order.
 
     A story ends at a gap of ``photo_gap``, or of ``story_gap`` once it spans more than
     ``story_span``; headers are one segment before all columns.
     """
-    row = F.struct("y0", "line_no", "y1", "x0", "x1")
+    row = F.struct("y0", "line_no", "y1", "x0", "x1", *also)
     grouped = placed.groupBy("page_id", "is_header", "col").agg(F.array_sort(F.collect_list(row)).alias("all"))
     start = F.struct(F.lit(0).alias("sub"), F.lit(None).cast("double").alias("top"), F.lit(None).cast("double").alias("bottom"), F.array().cast("array<int>").alias("subs"))
 
@@ -119,6 +119,19 @@ def stories(placed: DataFrame, rules: Columns = RULES) -> DataFrame:
     return lined.withColumn("line_in_seg", F.row_number().over(W.partitionBy("page_id", "seg_no").orderBy("y0", "line_no"))).drop("__n")
 
 
+def wide_widths(lines: DataFrame, width: float, share: float = 0.28, most: int = 10) -> DataFrame:
+    """(page_id, k, width): the first ``most`` widths, in the order of lines, of those too wide for a column; whole numbers, halves to even."""
+    w = F.col("x1") - F.col("x0")
+    place = F.row_number().over(W.partitionBy("page_id").orderBy("line_no"))
+    return lines.where(w > share * width).select("page_id", place.alias("k"), F.bround(w).cast("int").alias("width")).where(F.col("k") <= most)
+
+
+def with_text(told: DataFrame, accepted: DataFrame) -> DataFrame:
+    """(page_id, seg_no, n, text_seg_no): segments that have accepted lines, and their number among those."""
+    n = told.join(accepted.select("page_id", "line_no"), ["page_id", "line_no"]).groupBy("page_id", "seg_no").agg(F.count("*").alias("n"))
+    return n.withColumn("text_seg_no", F.row_number().over(W.partitionBy("page_id").orderBy("seg_no")))
+
+
 def segments(told: DataFrame) -> DataFrame:
     """Envelope and line count of each segment."""
     return told.groupBy("page_id", "seg_no").agg(F.first("note").alias("note"), F.count("*").alias("n_lines"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,20 +47,40 @@ def sharpen(gray: np.ndarray) -> np.ndarray:
     return out
 
 
-def blurred(gray: np.ndarray, radius: float = 1.5) -> np.ndarray:
-    """A Gaussian blur; pixels beyond the edge repeat the edge."""
-    reach = int(3 * radius + 0.5)
-    kernel = np.exp(-(np.arange(-reach, reach + 1) ** 2) / (2 * radius**2))
-    kernel /= kernel.sum()
-    out = np.pad(gray.astype(float), reach, mode="edge")
-    for axis in (0, 1):
-        out = np.apply_along_axis(np.convolve, axis, out, kernel, "valid")
+#: Bits after the point of a blur's weights.
+POINT = 24
+
+
+def box_weights(radius: float, passes: int = 3) -> tuple[int, int, int]:
+    """(reach, inner weight, edge weight) of the box whose repeated average comes near a Gaussian of ``radius``.
+
+    A box of odd width 2 * reach + 1 takes its share of each of two further pixels, so
+    that its variance is the Gaussian's divided by ``passes``; weights are fixed-point.
+    """
+    variance = radius * radius / passes
+    reach = int((math.sqrt(12 * variance + 1) - 1) / 2)
+    share = (2 * reach + 1) * (reach * (reach + 1) - 3 * variance) / (6 * (variance - (reach + 1) ** 2))
+    inner = int((1 << POINT) / (2 * (reach + share) + 1))
+    return reach, inner, ((1 << POINT) - (2 * reach + 1) * inner) // 2
+
+
+def blurred(gray: np.ndarray, radius: float = 1.5, passes: int = 3) -> np.ndarray:
+    """A blur by repeated box averages, first along rows and then along columns, each rounded to whole grays; pixels beyond the edge repeat the edge."""
+    reach, inner, edge = box_weights(radius, passes)
+    out = gray.astype(np.int64)
+    for axis in (1, 0):
+        n = out.shape[axis]
+        at = lambda by: np.take(out, np.clip(np.arange(n) + by, 0, n - 1), axis)  # noqa: E731, B023
+        for _ in range(passes):
+            total = sum(at(by) for by in range(-reach, reach + 1)) * inner + (at(-reach - 1) + at(reach + 1)) * edge
+            out = (total + (1 << (POINT - 1))) >> POINT
     return out
 
 
 def unsharp(gray: np.ndarray, radius: float = 1.5, amount: float = 0.35) -> np.ndarray:
-    """(1 + amount) times the picture less amount times its blur."""
-    return np.clip((1 + amount) * gray - amount * np.rint(blurred(gray, radius)), 0, 255).astype(np.uint8)
+    """The picture plus ``amount`` times what its blur takes away, in single precision, cut off to whole grays."""
+    gained = gray.astype(np.float32) - np.float32(amount) * (blurred(gray, radius) - gray).astype(np.float32)
+    return np.clip(gained, 0, 255).astype(np.uint8)
 
 
 def before_reading(gray: np.ndarray) -> np.ndarray:

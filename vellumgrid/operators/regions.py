@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import area, bbox, iou, lookup, scaled
@@ -77,6 +78,12 @@ def overlaps(regions: DataFrame, key: str = "page_id", id: str = "region_id") ->
     return pairs.select(key, "a", "b", iou(F.col("p"), F.col("q")).alias("iou")).where("iou > 0")
 
 
+def in_turn(routed: DataFrame) -> DataFrame:
+    """Regions to be read, with their turn on the page: by position (999 where missing), then number."""
+    turn = W.partitionBy("page_id").orderBy(F.coalesce("position", F.lit(999)), "region_id")
+    return routed.where("route = 'ocr'").withColumn("turn", F.row_number().over(turn))
+
+
 def with_fallback(pages: DataFrame, regions: DataFrame, page: Page = Page(), key: str = "page_id") -> DataFrame:
     """All regions, and for pages without any one that covers the page."""
     whole = pages.join(regions.select(key).distinct(), key, "left_anti").select(

@@ -20,6 +20,16 @@ def accepted(judged: DataFrame) -> DataFrame:
     return judged.groupBy("page_id").agg(F.count_if(F.col("reason") == 0).alias("accepted"), F.count_if(F.col("reason") > 0).alias("filtered"))
 
 
+def totals(judged: DataFrame, key: str) -> DataFrame:
+    """Pages with lines, and lines kept and dropped, of a file."""
+    return judged.groupBy(key).agg(F.countDistinct("page_id").alias("pages"), F.count_if(F.col("reason") == 0).alias("accepted"), F.count_if(F.col("reason") > 0).alias("filtered"))
+
+
+def captions(lines: DataFrame) -> DataFrame:
+    """The starts of texts that reports and pictures show: 40, 55 and 60 characters."""
+    return lines.select("page_id", "line_no", *[F.substring("text", 1, n).alias(f"first_{n}") for n in (40, 55, 60)])
+
+
 def labels(routed: DataFrame) -> DataFrame:
     return routed.groupBy("page_id", "label").agg(F.count("*").alias("n"))
 

@@ -28,6 +28,24 @@ def spans(pages: DataFrame) -> DataFrame:
     return first.select("page_id", F.posexplode(either).alias("span_no", "s")).select("page_id", "span_no", "s.text", "s.x", "s.y", "s.size")
 
 
+def cascade(pages: DataFrame) -> DataFrame:
+    """(page_id, span_no, text, x, y, size) by the first way of reading the layer that doesn't fail.
+
+    ``raw`` and ``dicts`` are arrays of spans (text, x0, y1, size, descent), ``plain`` and
+    ``words`` arrays of (n, x0, y0, x1, y1, text), n being the fields that were there. A
+    way that failed is null. The next way is tried only after a failure, but words
+    also where the way that worked found no text. Pieces of fewer than five fields go.
+    """
+    filled = lambda x: F.filter(x, lambda s: F.length(s["text"]) > 0)
+    rich = lambda c: filled(F.transform(c, lambda s: F.struct(strip(s["text"]).alias("text"), (s["x0"] - OFFSET).alias("x"), (F.col("pix_h") - s["y1"] + s["descent"]).alias("y"), s["size"].alias("size"))))
+    guess = lambda w: F.greatest(F.lit(12), (w["y1"] - w["y0"]).cast("int")).cast("double")
+    whole = lambda c: F.filter(c, lambda w: w["n"] >= 5)
+    flat = lambda c: filled(F.transform(whole(c), lambda w: F.struct(strip(w["text"]).alias("text"), (w["x0"] - OFFSET).alias("x"), (F.col("pix_h") - w["y1"]).alias("y"), guess(w).alias("size"))))
+    found = F.coalesce(rich("raw"), rich("dicts"), flat("plain"))
+    either = F.when(F.size(found) > 0, found).otherwise(flat("words"))
+    return pages.where("page_num = 1").select("page_id", F.posexplode(either).alias("span_no", "s")).select("page_id", "span_no", "s.text", "s.x", "s.y", "s.size")
+
+
 def canvas(pages: DataFrame, placed: DataFrame) -> DataFrame:
     """(page_id, ocr_w, ocr_h, all_w, all_h) from pages (pix_w, pix_h) and placed text boxes (x, y, w, h); a page without text has a canvas of its own size."""
     around = placed.groupBy("page_id").agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max(F.col("x") + F.col("w")).alias("x1"), F.max(F.col("y") + F.col("h")).alias("y1"))

@@ -18,12 +18,18 @@ def text_layer(elements: DataFrame, pages: DataFrame, rules: Variant, page: Page
     return joined.select("page_id", "elem_no", "text", (F.col("x0") * sx).alias("x_pt"), (F.col("y1") * sy).alias("y_pt"), size.alias("font_pt"), F.lit(3).alias("render_mode"))
 
 
-def redactions(pages: DataFrame, elements: DataFrame, rules: Variant) -> DataFrame:
-    """(page_id, needs_redaction): whether the page's old text layer goes."""
+def redactions(pages: DataFrame, elements: DataFrame, **rules: Variant) -> DataFrame:
+    """page_id, and for each rule set by its name whether the page's old text layer goes."""
     n = elements.groupBy("page_id").agg(F.count("*").alias("n"))
     has = F.length(strip(F.coalesce("existing_text", F.lit("")))) > 0
-    read = F.lit(True) if rules.clears_empty else F.coalesce("n", F.lit(0)) > 0
-    return pages.join(n, "page_id", "left").select("page_id", (has & read).alias("needs_redaction"))
+    held = pages.select("page_id", has.alias("has")).join(n, "page_id", "left")
+    read = F.coalesce("n", F.lit(0)) > 0
+    return held.select("page_id", *[(F.col("has") & (F.lit(True) if v.clears_empty else read)).alias(name) for name, v in rules.items()])
+
+
+def inserted(layer: DataFrame, ok: str = "ok") -> DataFrame:
+    """(page_id, elements, inserted): an element whose insertion failed counts as one that wasn't inserted."""
+    return layer.groupBy("page_id").agg(F.count("*").alias("elements"), F.count_if(F.coalesce(F.col(ok), F.lit(False))).alias("inserted"))
 
 
 def empty_pages(pages: DataFrame, lines: DataFrame) -> DataFrame:
@@ -46,4 +52,4 @@ def metadata(files: DataFrame, author: str, subject: str, creator: str, producer
 def names(files: DataFrame) -> DataFrame:
     """The names that go with a file's stem through the run."""
     stem = F.regexp_replace("name", r"\.[^.]*$", "")
-    return files.select("name", stem.alias("stem"), *[F.concat(stem, F.lit(end)).alias(alias) for alias, end in (("temp", "_ocr_temp.pdf"), ("final", "_final.pdf"), ("review", "_review.jpg"))])
+    return files.select("*", stem.alias("stem"), *[F.concat(stem, F.lit(end)).alias(alias) for alias, end in (("temp", "_ocr_temp.pdf"), ("final", "_final.pdf"), ("review", "_review.jpg"))])

@@ -6,7 +6,8 @@ queries use arrays and folds.
 
 from __future__ import annotations
 
-from .functions.text import PATTERNS, REASONS
+from .functions.text import PATTERNS, REASONS, packet
+from .operators.pixels import POINT, box_weights
 from .plans.variants import ALIASES_BC, ALIASES_D, DEFAULT_COLOUR, LABEL_COLOURS, OCR_LABELS, SEGMENT_COLOURS, SINGLE_BLOCK_LABELS, SKIP_LABELS, A, C, D, S, Variant
 from .sources.tables import LINES_SQL, NOISE_LINES_SQL, REGIONS_SQL
 
@@ -19,8 +20,8 @@ _strip = lambda x: f"regexp_replace({x}, {BLANKS}, '', 'g')"
 D_REGIONS = f"{R}, d AS (SELECT * REPLACE ({_case('label', ALIASES_D, 'label')} AS label) FROM r)"
 
 
-def _reasons(v: Variant) -> str:
-    return f"""{N}, c AS (SELECT *, y1 - y0 AS h, x1 - x0 AS w, {_strip("text")} AS t FROM n),
+def _reasons(v: Variant, lines: str = N) -> str:
+    return f"""{lines}, c AS (SELECT *, y1 - y0 AS h, x1 - x0 AS w, {_strip("text")} AS t FROM n),
 j AS (SELECT page_id, line_no, text, x0, y0, x1, y1, CASE WHEN text IS NULL OR text = '' THEN 1 WHEN h < {v.noise_height} OR w < {v.noise_width} THEN 2 WHEN w / h < 0.1 OR w / h > 100 THEN 3
   WHEN length(t) = 1 AND confidence < {v.single_char} THEN 4 WHEN length(t) = 1 THEN 0 WHEN confidence < {v.confidence} THEN 5
   WHEN length(t) > 2 AND len(list_distinct(string_split(t, ''))) = 1 THEN 6
@@ -60,13 +61,65 @@ def _budget(v: Variant) -> str:
 CASE WHEN any_value(plain) > any_value(budget) AND coalesce(arg_min(chars, option) FILTER ({stop} AND option <= {v.options}), 0) > 0 THEN arg_min(size, option) FILTER ({stop} AND option <= {v.options}) ELSE any_value(plain) END AS final_bytes, '{v.name}' AS variant FROM u GROUP BY name"""
 
 
-_read = "SELECT page_id, region_id, line_no, CASE WHEN line_no % 3 = 0 THEN 2 ELSE 1 END AS pass, text FROM (SELECT *, line_no % 4 AS region_id FROM n WHERE line_no < 12)"
+_read = "SELECT page_id, region_id, line_no, CASE WHEN line_no % 3 = 0 THEN 2 ELSE 1 END AS pass, text FROM (SELECT *, line_no % 4 AS region_id FROM n)"
 _old = "CASE WHEN doc_id % 3 = 0 THEN text ELSE '' END"
 SPANS = f"""p AS (SELECT doc_id AS page_id, doc_id % 3 AS kind, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
 q AS (SELECT page_id, i, {_strip("x")} AS text, CAST(20 AS DOUBLE) AS x, CAST(CASE WHEN kind < 2 THEN 1800 - (80.5 + 30 * i) - 2 ELSE 1800 - (80.5 + 30 * i) END AS DOUBLE) AS y, CAST(CASE WHEN kind < 2 THEN 9 ELSE 20 END AS DOUBLE) AS size FROM p),
 spans AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS span_no, text, x, y, size FROM q WHERE length(text) > 0)"""
+_plain = lambda x: x.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
+
+
+def _xmp() -> str:
+    """A metadata packet as a sum of strings and columns."""
+    at = ("strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')",)
+    given = {"title": ("'scan ' || o_orderkey || '.v1.pdf'",), "author": "", "subject": _plain('Recognised "text" & <more>'), "creator": "vellumgrid", "producer": "vellumgrid", "created": at, "modified": at}
+    return packet(given, lambda parts: " || ".join(x[0] if isinstance(x, tuple) else _quoted(x) for x in parts))
+
+
+#: Gray tiles of 8 by 8 as lists of 64 numbers, row by row.
+TILES = "g AS (SELECT vec_id AS tile_id, list_transform(embedding, lambda x: CAST(greatest(0, least(255, floor((CAST(x AS DOUBLE) + 1) * 128))) AS BIGINT)) AS p FROM embeddings)"
+_hexed = lambda of: f"SELECT tile_id, array_to_string(list_transform(p, lambda v: printf('%02X', v)), '') AS pixels FROM {of}"
+
+
+def _stretched(cut: int) -> str:
+    """Tiles stretched to 0..255 after ``cut`` pixels are off each end: all, or without the cut ones if nothing is left between."""
+    return f"""b AS (SELECT tile_id, p, list_sort(p)[{1 + cut}] AS lo, list_sort(p)[{64 - cut}] AS hi FROM g),
+c AS (SELECT tile_id, CASE WHEN hi <= lo THEN p ELSE list_transform(p, lambda v: CAST(greatest(0, least(255, trunc(v * (255.0::DOUBLE / (hi - lo)) - lo * (255.0::DOUBLE / (hi - lo))))) AS BIGINT)) END AS p FROM b)"""
+
+
+def _blurred() -> str:
+    """Six box averages of c, three along rows and three along columns; the last is s6."""
+    reach, inner, edge = box_weights(1.5)
+    steps, of = [], "c"
+    for k in range(1, 7):
+        at = lambda by, k=k: f"p[{'(i // 8) * 8 + greatest(0, least(7, i % 8 + ({0})))' if k <= 3 else 'greatest(0, least(7, i // 8 + ({0}))) * 8 + i % 8'} + 1]".format(by)
+        near = " + ".join(at(by) for by in range(-reach, reach + 1))
+        steps.append(f"s{k} AS (SELECT tile_id, list_transform(range(0, 64), lambda i: (({near}) * {inner} + ({at(-reach - 1)} + {at(reach + 1)}) * {edge} + {1 << (POINT - 1)}) // {1 << POINT}) AS p FROM {of})")
+        of = f"s{k}"
+    return ",\n".join(steps)
+
+
+_near = " + ".join(f"p[i + {dy * 8 + dx} + 1]" for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx)
 
 ORACLE_SQL: dict[str, str] = {
+    "tile_autocontrast": f"WITH {TILES}, {_stretched(0)} {_hexed('c')}",
+    "tile_contrast_sharpen": f"""WITH {TILES}, {_stretched(1)}, d AS (SELECT tile_id, list_transform(range(0, 64), lambda i: CASE WHEN i // 8 IN (0, 7) OR i % 8 IN (0, 7) THEN p[i + 1] ELSE greatest(0, least(255, CAST(floor((32 * p[i + 1] - 2 * ({_near}) + 8) / 16.0::DOUBLE) AS BIGINT))) END) AS p FROM c) {_hexed("d")}""",
+    "tile_unsharp": f"""WITH {TILES}, {_stretched(0)}, {_blurred()}, d AS (SELECT tile_id, list_transform(range(1, 65), lambda i: CAST(trunc(greatest(0::FLOAT, least(255::FLOAT, CAST(c.p[i] AS FLOAT) - 0.35::FLOAT * CAST(s6.p[i] - c.p[i] AS FLOAT)))) AS BIGINT)) AS p FROM c JOIN s6 USING (tile_id)) {_hexed("d")}""",
+    "file_totals": f"WITH {_reasons(S)} SELECT page_id % 50 AS doc, count(DISTINCT page_id) AS pages, count(*) FILTER (reason = 0) AS accepted, count(*) FILTER (reason > 0) AS filtered FROM j GROUP BY 1",
+    "read_errors": f"""WITH {_reasons(D, N + ", n2 AS (SELECT * REPLACE (CASE WHEN line_no % 10 = 3 THEN '' ELSE text END AS text, CASE WHEN line_no % 10 = 3 THEN 0 ELSE confidence END AS confidence) FROM n)").replace("AS t FROM n)", "AS t FROM n2)")}
+SELECT page_id, count(*) FILTER (line_no % 10 = 3) AS failed, count(*) FILTER (reason = 1) AS empty, count(*) FILTER (reason = 0) AS accepted FROM j GROUP BY page_id""",
+    "captions": f"WITH {L} SELECT page_id, line_no, text[1:40] AS first_40, text[1:55] AS first_55, text[1:60] AS first_60 FROM l",
+    "reading_turns": f"""WITH {D_REGIONS} SELECT page_id, region_id, row_number() OVER (PARTITION BY page_id ORDER BY CASE WHEN region_id = 1 THEN 999 ELSE region_id * 3 % 4 END, region_id) AS turn FROM d WHERE {ROUTE} = 'ocr'""",
+    "wide_widths": f"""WITH {L}, w AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY line_no) AS k, CAST(round_even(x1 + line_no / 2.0::DOUBLE - x0, 0) AS INT) AS width FROM l WHERE x1 + line_no / 2.0::DOUBLE - x0 > 672) SELECT page_id, k, width FROM w WHERE k <= 10""",
+    "segments_with_text": f"""WITH RECURSIVE {TOLD}, {_reasons(A)}, q AS (SELECT page_id, seg_no, count(*) AS n FROM told JOIN (SELECT page_id, line_no FROM j WHERE reason = 0) a USING (page_id, line_no) GROUP BY ALL)
+SELECT page_id, seg_no, n, row_number() OVER (PARTITION BY page_id ORDER BY seg_no) AS text_seg_no FROM q""",
+    "inserted_counts": f"WITH {_reasons(D)} SELECT page_id, count(*) AS elements, count(*) FILTER (line_no % 10 <> 9) AS inserted FROM j WHERE reason = 0 GROUP BY page_id",
+    "size_growth": """WITH t AS (SELECT o_orderkey AS name, o_orderkey * 7919 % 1000 AS orig_size, CAST(trunc(o_totalprice * 10) AS BIGINT) AS final_bytes FROM orders)
+SELECT name, orig_size, final_bytes, final_bytes // 1024 AS kb, round(CASE WHEN orig_size <> 0 THEN (final_bytes - orig_size) * 100.0::DOUBLE / orig_size END, 6) AS growth FROM t""",
+    "artefact_list": "SELECT 'page_' || o_orderkey || '_lines.txt' AS name, CAST(trunc(o_totalprice * 100) AS BIGINT) // 1024 AS kb FROM orders",
+    "review_cascade": f"""WITH p AS (SELECT doc_id AS page_id, doc_id % 5 AS kind, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents WHERE doc_id % 7 % 2 = 0),
+q AS (SELECT page_id, i, {_strip("x")} AS text, CASE WHEN kind IN (0, 1) THEN 30 ELSE 20 END AS x, CASE WHEN kind IN (0, 1) THEN 1800 - (70 + 20 * i) - 3 ELSE 1800 - (70.5 + 31 * i) END AS y, CASE WHEN kind IN (0, 1) THEN 11 ELSE greatest(12, trunc(10.5 + i)) END AS size FROM p WHERE kind IN (0, 1) OR i % 3 = 2)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS span_no, text, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(size AS DOUBLE) AS size FROM q WHERE length(text) > 0""",
     "reading_order_s": f"""WITH {L}, {R}, j AS (SELECT l.page_id, l.line_no, r.region_id, r.x0 AS rx, greatest(0, least(l.x1, r.x1) - greatest(l.x0, r.x0)) / greatest(l.x1 - l.x0, 1) AS ov FROM l JOIN r USING (page_id)),
 b AS (SELECT *, row_number() OVER (PARTITION BY page_id, line_no ORDER BY ov DESC, rx, region_id) AS k FROM j WHERE ov > 0.05),
 rk AS (SELECT page_id, region_id, row_number() OVER (PARTITION BY page_id ORDER BY x0, region_id) - 1 AS bk FROM r), c AS (SELECT page_id, count(*) AS n FROM r GROUP BY page_id),
@@ -124,11 +177,10 @@ SELECT page_id, elem_no, source_label, greatest(6.0::DOUBLE, least(72.0::DOUBLE,
     "draw_regions": f"WITH {D_REGIONS}, c AS (SELECT *, {_case('label', LABEL_COLOURS, _quoted(DEFAULT_COLOUR))} AS colour FROM d) SELECT page_id, position AS z, region_id, x0, y0, x1, y1, CAST('0x' || colour[2:3] AS INT) AS r, CAST('0x' || colour[4:5] AS INT) AS g, CAST('0x' || colour[6:7] AS INT) AS b, position || ' ' || label AS caption FROM c",
     "draw_lines": f"WITH RECURSIVE {TOLD} SELECT page_id, line_no, CAST(x0 AS DOUBLE) AS x0, y0, CAST(x1 AS DOUBLE) AS x1, y1, [{', '.join(map(_quoted, SEGMENT_COLOURS))}][(seg_no - 1) % 10 + 1] AS colour, text[1:40] AS caption FROM told",
     "review_spans": f"WITH {SPANS} SELECT page_id, span_no, text, x, y, size FROM spans",
-    "review_canvas": f"""WITH {SPANS}, e AS (SELECT page_id, max(x + length(text) * 6.0::DOUBLE) - min(x) AS w, max(y + size) - min(y) AS h FROM spans WHERE page_id % 13 <> 0 GROUP BY page_id),
+    "review_canvas": f"""WITH {SPANS}, e AS (SELECT page_id, max(x + length(text) * 6.0::DOUBLE) - min(x) AS w, max(y + size) - min(y) AS h FROM spans GROUP BY page_id),
 c AS (SELECT doc_id AS page_id, CASE WHEN w IS NULL THEN 500 ELSE greatest(CAST(trunc(w + 80) AS INT), 500) + 20 END AS ocr_w, CASE WHEN h IS NULL THEN 400 ELSE greatest(CAST(trunc(h + 80) AS INT), 400) + 20 END AS ocr_h FROM documents LEFT JOIN e ON e.page_id = doc_id)
 SELECT page_id, ocr_w, ocr_h, 500 + ocr_w AS all_w, greatest(400, ocr_h) AS all_h FROM c""",
     "span_envelopes": f"WITH {L} SELECT page_id, line_no, x1 - x0 AS w, greatest(6.0::DOUBLE, least(72.0::DOUBLE, (y1 - y0) * 0.9::DOUBLE)) AS font_s, greatest(6.0::DOUBLE, least(72.0::DOUBLE, (y1 - y0) * 0.85::DOUBLE)) AS font_d, CAST('0x' || [{', '.join(map(_quoted, SEGMENT_COLOURS))}][line_no % 10 + 1][2:3] AS INT) AS red, length({_strip('text')}) AS n FROM l",
-    "docinfo_xmp": """SELECT 'scan ' || o_orderkey || '.v1.pdf' AS name, 'scan ' || o_orderkey || '.v1.pdf' AS title, strftime(o_orderdate, 'D:%Y%m%d%H%M%S') AS created,
-sha256('<?xpacket begin="' || chr(65279) || '" id="W5M0MpCehiHzreSzNTczkc9d"?><x:xmpmeta xmlns:x="adobe:ns:meta/"><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#"><rdf:Description rdf:about="" xmlns:pdf="http://ns.adobe.com/pdf/1.3/"><pdf:Producer>vellumgrid</pdf:Producer></rdf:Description><rdf:Description rdf:about="" xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:title><rdf:Alt><rdf:li xml:lang="x-default">scan ' || o_orderkey || '.v1.pdf</rdf:li></rdf:Alt></dc:title><dc:creator><rdf:Seq><rdf:li></rdf:li></rdf:Seq></dc:creator><dc:description><rdf:Alt><rdf:li xml:lang="x-default">Recognised text</rdf:li></rdf:Alt></dc:description></rdf:Description><rdf:Description rdf:about="" xmlns:xmp="http://ns.adobe.com/xap/1.0/"><xmp:CreatorTool>vellumgrid</xmp:CreatorTool><xmp:CreateDate>' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '</xmp:CreateDate><xmp:ModifyDate>' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '</xmp:ModifyDate></rdf:Description><rdf:Description rdf:about="" xmlns:pdfaid="http://www.aiim.org/pdfa/ns/id/"><pdfaid:part>1</pdfaid:part><pdfaid:conformance>B</pdfaid:conformance></rdf:Description></rdf:RDF></x:xmpmeta><?xpacket end="w"?>') AS xmp_sha256,
+    "docinfo_xmp": f"""SELECT 'scan ' || o_orderkey || '.v1.pdf' AS name, 'scan ' || o_orderkey || '.v1.pdf' AS title, strftime(o_orderdate, 'D:%Y%m%d%H%M%S') AS created, sha256({_xmp()}) AS xmp_sha256,
 'scan ' || o_orderkey || '.v1_ocr_temp.pdf' AS temp, 'scan ' || o_orderkey || '.v1_final.pdf' AS final, 'scan ' || o_orderkey || '.v1_review.jpg' AS review FROM orders""",
 }

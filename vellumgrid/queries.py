@@ -11,7 +11,7 @@ from .functions.geometry import bbox, font_size, rgb
 from .functions.text import noise_reason, strip
 from .operators import budget, columns, order, pixels, recognise, regions, reports, review, textlayer
 from .plans.variants import SEGMENT_COLOURS, A, B, C, D, Page, S, Variant
-from .sources.tables import lines, noise_lines, table
+from .sources.tables import lines, listed, noise_lines, table
 from .sources.tables import regions as raw_regions
 
 PAGE = Page()
@@ -68,6 +68,26 @@ def accepted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.accepted(_judged(spark, sf_dir, S))
 
 
+@query
+def file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.totals(_judged(spark, sf_dir, S).withColumn("doc", F.col("page_id") % 50), "doc")
+
+
+@query
+def read_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth read failed: its text is empty, so the first noise rule takes the line."""
+    lost = F.col("line_no") % 10 == 3
+    read = noise_lines(spark, sf_dir).withColumns({"failed": lost, "text": F.when(~lost, F.col("text")), "confidence": F.when(~lost, F.col("confidence"))})
+    held = read.withColumns(recognise.failed_reads())
+    reason = noise_reason(F.col("text"), F.col("confidence"), F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"), D)
+    return held.withColumn("reason", reason).groupBy("page_id").agg(F.count_if("failed").alias("failed"), F.count_if(F.col("reason") == 1).alias("empty"), F.count_if(F.col("reason") == 0).alias("accepted"))
+
+
+@query
+def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.captions(lines(spark, sf_dir))
+
+
 @query
 def label_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = raw_regions(spark, sf_dir).select("page_id", "region_id", *[regions.normalise(F.when(F.col("region_id") != 2, F.col("label")), v).alias(f"label_{v.name}") for v in (B, D)])
@@ -89,6 +109,12 @@ def unknown_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.unknown(label_route(spark, sf_dir))
 
 
+@query
+def reading_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = label_route(spark, sf_dir).withColumn("position", F.when(F.col("region_id") != 1, (F.col("region_id") * 3) % 4))
+    return regions.in_turn(moved).select("page_id", "region_id", "turn")
+
+
 @query
 def topk_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = lambda label, n: F.struct(F.lit(label).alias("label"), (n / F.lit(10.0)).alias("confidence"))
@@ -205,6 +231,16 @@ def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.segments(_told(spark, sf_dir))
 
 
+@query
+def wide_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns.wide_widths(lines(spark, sf_dir).withColumn("x1", F.col("x1") + F.col("line_no") / 2.0), PAGE.width)
+
+
+@query
+def segments_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns.with_text(_told(spark, sf_dir).select("page_id", "line_no", "seg_no"), _judged(spark, sf_dir, A).where("reason = 0"))
+
+
 @query
 def token_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recognise.confidences(table(spark, sf_dir, "embeddings"), "label", "embedding").withColumn("confidence", F.round("confidence", 6))
@@ -236,10 +272,15 @@ def text_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "elem_no", *[F.round(c, 6).alias(c) for c in ("x_pt", "y_pt", "font_pt")], "render_mode", F.length("text").alias("n_chars"))
 
 
+@query
+def inserted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements whose number ends in 9 stand for those that couldn't be inserted."""
+    return textlayer.inserted(_elements(spark, sf_dir).select("page_id", (F.col("elem_no") % 10 != 9).alias("ok")))
+
+
 @query
 def redaction_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held, pages = _elements(spark, sf_dir), _pages(spark, sf_dir)
-    return textlayer.redactions(pages, held, S).withColumnRenamed("needs_redaction", "s").join(textlayer.redactions(pages, held, D).withColumnRenamed("needs_redaction", "d"), "page_id")
+    return textlayer.redactions(_pages(spark, sf_dir), _elements(spark, sf_dir), s=S, d=D)
 
 
 @query
@@ -255,8 +296,8 @@ def char_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def docinfo_xmp(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "orders").select(F.concat(F.lit("scan "), F.col("o_orderkey").cast("string"), F.lit(".v1.pdf")).alias("name"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
-    info = textlayer.metadata(named, "", "Recognised text", "vellumgrid", "vellumgrid")
-    return info.join(textlayer.names(named), "name").select("name", "title", "created", F.sha2("xmp", 256).alias("xmp_sha256"), "temp", "final", "review")
+    info = textlayer.metadata(named, "", 'Recognised "text" & <more>', "vellumgrid", "vellumgrid")
+    return textlayer.names(info).select("name", "title", "created", F.sha2("xmp", 256).alias("xmp_sha256"), "temp", "final", "review")
 
 
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,6 +315,19 @@ def size_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(S).unionByName(one(D))
 
 
+@query
+def size_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("name"), (F.col("o_orderkey") * 7919 % 1000).alias("orig_size"), (F.col("o_totalprice") * 10).cast("long").alias("final_bytes"))
+    return budget.grown(sized).withColumn("growth", F.round("growth", 6))
+
+
+@query
+def artefact_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files named and sized after orders."""
+    found = table(spark, sf_dir, "orders").select(F.concat(F.lit("page_"), F.col("o_orderkey").cast("string"), F.lit("_lines.txt")).alias("name"), (F.col("o_totalprice") * 100).cast("long").alias("length"))
+    return listed(found)
+
+
 @query
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = budget.chosen(_attempts(spark, sf_dir), D).withColumn("success", F.col("name") % 9 != 0)
@@ -292,8 +346,9 @@ def draw_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def draw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    told = _told(spark, sf_dir).select("page_id", "line_no", "seg_no", *regions.BOX)
-    return reports.drawn_lines(told.join(lines(spark, sf_dir).select("page_id", "line_no", "text"), ["page_id", "line_no"]))
+    found = lines(spark, sf_dir)
+    told = columns.stories(columns.in_columns(found.select("page_id", "line_no", "text", *regions.BOX), columns.gutters(found)), also=("text",))
+    return reports.drawn_lines(told)
 
 
 def _reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,6 +367,20 @@ def review_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.spans(_reviewed(spark, sf_dir))
 
 
+@query
+def review_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers of which the first ways fail or find nothing, by document."""
+    parts, kind = F.split("text", "\n"), F.col("doc_id") % 5
+    span = lambda x, i: F.struct(F.concat(F.lit(" "), F.when(kind != 3, x)).alias("text"), F.lit(40.0).alias("x0"), (70.0 + 20 * i).alias("y1"), F.lit(11.0).alias("size"), F.lit(-3.0).alias("descent"))
+    piece = lambda x, i: F.struct((3 + i % 3).cast("int").alias("n"), F.lit(30.0).alias("x0"), (60.0 + 30 * i).alias("y0"), F.lit(600.0).alias("x1"), (70.5 + 31 * i).alias("y1"), x.alias("text"))
+    spans, pieces = F.transform(parts, span), F.transform(parts, piece)
+    held = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("page_id"), (1 + F.col("doc_id") % 7 % 2).cast("int").alias("page_num"), F.lit(1800.0).alias("pix_h"),
+        F.when(kind == 0, spans).alias("raw"), F.when(kind.isin(1, 3), spans).alias("dicts"), F.when(kind == 2, pieces).alias("plain"), pieces.alias("words"),
+    )
+    return review.cascade(held)
+
+
 @query
 def review_canvas(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.lit(500).alias("pix_w"), F.lit(400).alias("pix_h"))

@@ -74,6 +74,11 @@ def files(spark: SparkSession, folder: str, glob: str = "*.pdf") -> DataFrame:
     return found.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), "length", "content")
 
 
+def listed(found: DataFrame) -> DataFrame:
+    """(name, kb) of files in order of their names; kilobytes are rounded down."""
+    return found.select("name", F.expr("length div 1024").alias("kb")).orderBy("name")
+
+
 def required(found: DataFrame, what: str) -> DataFrame:
     """``found``, unless it is empty, which is an error."""
     if found.isEmpty():
