@@ -12,7 +12,9 @@ k is EDITS of the item's length, less for items so short that the bound would va
 items of fewer than Q folded characters are no evidence and match nothing.
 
 The index of the items is sent to all executors. Its size is checked: items beyond BLOCK
-characters are taken in as many blocks as needed, each against all documents.
+characters (some 36 MB of index) are taken in as many blocks as needed, each against all
+documents. Where a q-gram that texts repeat is also common among the items, what a batch
+makes of them is bounded too: beyond EXPANDED the texts, and then the items, are halved.
 
 Edge cases: null and empty texts and items match nothing; no items or no documents give
 an empty result; repeated documents and items each give their rows; other columns are
@@ -22,7 +24,7 @@ ignored. Positions are those of the original text, in code points.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,8 @@ from .common import ship, table
 
 Q = 8
 EDITS = 0.10
-BLOCK = 16_000_000
+BLOCK = 1_000_000
+EXPANDED = 4_000_000
 _BITS = 22
 U = np.uint64
 _MULTIPLY = U(0x9E3779B97F4A7C15)
@@ -95,6 +98,14 @@ class Index:
     start: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    parts: list["Index"] = field(default_factory=list)
+
+    def halves(self) -> list["Index"]:
+        """Indexes of the first and the second half of the items."""
+        if not self.parts:
+            half = len(self.ids) // 2
+            self.parts = [_index(self.ids[a:b], self.codes[a:b], self.edits[a:b]) for a, b in ((0, half), (half, len(self.ids)))]
+        return self.parts
 
     def filter(self) -> np.ndarray:
         out = np.zeros(1 << _BITS, bool)
@@ -112,14 +123,18 @@ def build(items: list[tuple[int, str]], edits: float = EDITS) -> Index:
             ids.append(i)
             codes.append(c)
     size = np.array([len(c) for c in codes], np.int64)
-    k = np.minimum((size * edits).astype(np.int64), (size - Q) // Q)
+    return _index(np.array(ids, np.int64), codes, np.minimum((size * edits).astype(np.int64), (size - Q) // Q))
+
+
+def _index(ids: np.ndarray, codes: list[np.ndarray], k: np.ndarray) -> Index:
+    size = np.array([len(c) for c in codes], np.int64)
     hashes = [grams(c) for c in codes]
     flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     item = np.repeat(np.arange(len(codes)), [len(h) for h in hashes])
     place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
     order = np.argsort(flat, kind="stable")
     keys, start = np.unique(flat[order], return_index=True)
-    return Index(np.array(ids, np.int64), codes, k, size - Q + 1 - k * Q, 2 * (k + 1), keys, np.concatenate([start, [len(flat)]]), item[order], place[order])
+    return Index(ids, codes, k, size - Q + 1 - k * Q, 2 * (k + 1), keys, np.concatenate([start, [len(flat)]]), item[order], place[order])
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tuple[int, int] | None:
@@ -139,17 +154,41 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tu
     return int(row[best]), lo + best + len(item)
 
 
-def matches(index: Index, texts: list[str], seen: np.ndarray | None = None) -> list[tuple[int, int, int, int, int]]:
+def first_of(item: np.ndarray, text: np.ndarray, end: int, edits: int) -> int:
+    """Where the occurrence of ``item`` begins that ends before ``end`` with ``edits`` edits; of several places the one that makes it longest."""
+    back, body = item[::-1], text[max(0, end - len(item) - edits) : end][::-1]
+    row, step = np.arange(len(body) + 1), np.arange(len(body) + 1)
+    for c in back:
+        new = np.append(row[0] + 1, np.minimum(row[1:] + 1, row[:-1] + (body != c)))
+        row = np.minimum.accumulate(new - step) + step
+    return end - int(np.flatnonzero(row == row.min())[-1])
+
+
+def matches(index: Index, texts: list[str], seen: np.ndarray | None = None, expanded: int = EXPANDED) -> list[tuple[int, int, int, int, int]]:
     """(number of the text, item id, start, end, edits) of every item that occurs in a text; the best place of each."""
     if len(index.ids) == 0:
         return []
     seen = index.filter() if seen is None else seen
     parts = [folded(x) for x in texts]
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    _found(index, seen, [x for x, _ in parts], list(range(len(parts))), 0, expanded, best)
+    rows = []
+    for (d, i), (edits, end, first) in sorted(best.items()):
+        origin = parts[d][1]
+        first, last = max(0, min(first, len(origin) - 1)), min(end, len(origin))
+        rows.append((d, int(index.ids[i]), int(origin[first]), int(origin[last - 1]) + 1, edits))
+    return rows
+
+
+def _found(index: Index, seen: np.ndarray, parts: list[np.ndarray], numbers: list[int], before: int, expanded: int, best: dict[tuple[int, int], tuple[int, int, int]]) -> None:
+    """Put (edits, end, start) in folded text of the best place of every item into ``best``, by number of text and item (``before`` are in other halves)."""
     gap = np.zeros(1, np.uint32)
-    flat = np.concatenate([y for x, _ in parts for y in (x, gap)] or [gap])
-    bounds = np.concatenate([[0], np.cumsum([len(x) + 1 for x, _ in parts])])
+    flat = np.concatenate([y for x in parts for y in (x, gap)] or [gap])
+    bounds = np.concatenate([[0], np.cumsum([len(x) + 1 for x in parts])])
     h = grams(flat)
     at = np.flatnonzero(seen[h >> U(64 - _BITS)])
+    if len(at) == 0 or len(index.keys) == 0:
+        return
     j = np.searchsorted(index.keys, h[at])
     j[j == len(index.keys)] = 0
     good = index.keys[j] == h[at]
@@ -157,7 +196,16 @@ def matches(index: Index, texts: list[str], seen: np.ndarray | None = None) -> l
     n = index.start[j + 1] - index.start[j]
     to = np.cumsum(n)
     if len(to) == 0:
-        return []
+        return
+    if to[-1] > expanded and len(parts) > 1:
+        half = len(parts) // 2
+        for own in (slice(None, half), slice(half, None)):
+            _found(index, seen, parts[own], numbers[own], before, expanded, best)
+        return
+    if to[-1] > expanded and len(index.ids) > 1:
+        for k, half in enumerate(index.halves()):
+            _found(half, half.filter(), parts, numbers, before + k * len(index.halves()[0].ids), expanded, best)
+        return
     which = np.arange(to[-1]) + np.repeat(index.start[j] - (to - n), n)
     item, place, where = index.item[which], index.place[which], np.repeat(at, n)
     doc = np.searchsorted(bounds, where, side="right") - 1
@@ -182,22 +230,15 @@ def matches(index: Index, texts: list[str], seen: np.ndarray | None = None) -> l
                 continue
             w = int(index.width[i])
             low = int(b[e]) * w - shift * (w // 2) - len(flat)
-            found = align(index.codes[i], parts[d][0], low, low + w - 1, int(index.edits[i]))
+            found = align(index.codes[i], parts[d], low, low + w - 1, int(index.edits[i]))
             if found and found[0] <= index.edits[i] and found < out.get((d, i), (1 << 30, 0)):
                 out[d, i] = found
-    rows = []
-    for (d, i), (edits, end) in sorted(out.items()):
-        origin = parts[d][1]
-        first, last = max(0, min(end - len(index.codes[i]), len(origin) - 1)), min(end, len(origin))
-        rows.append((d, int(index.ids[i]), int(origin[first]), int(origin[last - 1]) + 1, edits))
-    return rows
+    for (d, i), (edits, end) in out.items():
+        best[numbers[d], before + i] = (edits, end, first_of(index.codes[i], parts[d], min(end, len(parts[d])), edits))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", edits: float = EDITS, block: int = BLOCK) -> DataFrame:
-    """(doc_id, item_id, start, end, edits): a row for each document and item that occurs in it.
-
-    ``start`` is the end of the best occurrence less the item's length.
-    """
+    """(doc_id, item_id, start, end, edits): a row for each document and item that occurs in it, with the place of the best occurrence."""
     source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     out = None
     for index in _indexes(docs, benchmark, item_id, item_text, edits, block):
