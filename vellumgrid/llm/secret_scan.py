@@ -51,6 +51,8 @@ RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 20, base=False),
 )
 FINDING = "array<struct<start: bigint, kind_no: int, kind: string, end: bigint>>"
+#: Bytes of findings that may go to all executors.
+SENT = 64 << 20
 LEDGER = f"blob string, rules array<string>, findings {FINDING}"
 
 
@@ -86,12 +88,13 @@ def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: t
     scratch = scratch or Scratch(spark, "ledger")
     seen = versions.select(address(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     keys = F.array(*[F.lit(r.key) for r in rules])
-    if ledger is not None:
-        known = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("had"))
-        seen = seen.join(known, "blob", "left").select("blob", "__text", F.array_except(keys, F.coalesce("had", F.array().cast("array<string>"))).alias("todo")).where(F.size("todo") > 0)
-        blobs = seen.groupBy("blob").agg(F.first("__text").alias("__text"), F.first("todo").alias("todo"))
+    # (copies meet before anything else, and most of them before the shuffle: one text for each blob)
+    blobs = seen.groupBy("blob").agg(F.first("__text").alias("__text"))
+    if ledger is None:
+        blobs = blobs.withColumn("todo", keys)
     else:
-        blobs = seen.groupBy("blob").agg(F.first("__text").alias("__text")).withColumn("todo", keys)
+        known = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("had"))
+        blobs = blobs.join(known, "blob", "left").select("blob", "__text", F.array_except(keys, F.coalesce("had", F.array().cast("array<string>"))).alias("todo")).where(F.size("todo") > 0)
     raw = scratch.keep(_scan(blobs, rules), "raw")
     hit = raw.select("blob", F.posexplode("hits").alias("kind_no", "run")).select("blob", "kind_no", F.posexplode("run").alias("i", "hit"))
     to = F.sum(F.col("hit.gap") + F.col("hit.len")).over(W.partitionBy("blob", "kind_no").orderBy("i"))
@@ -100,11 +103,20 @@ def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: t
     return raw.select("blob", "rules").join(found, "blob", "left").select("blob", "rules", F.coalesce(F.col("findings"), F.array()).cast(FINDING).alias("findings"))
 
 
-def findings_of(versions: DataFrame, ledger: DataFrame, text: str = "text") -> DataFrame:
-    """``versions`` without ``text``, plus blob and the findings of all rules (blob and findings of the input are replaced)."""
-    found = ledger.where(F.size("findings") > 0).groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("findings"))).alias("findings"))
+def findings_of(versions: DataFrame, ledger: DataFrame, text: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """``versions`` without ``text``, plus blob and the findings of all rules (blob and findings of the input are replaced).
+
+    Blobs with findings are written as a table of their own, so that the join has no
+    other work in its tasks: Spark can broadcast the table if it is small, and divide the
+    rows of a blob with many versions if it isn't. Up to SENT bytes of findings, as
+    counted, are broadcast whatever Spark's own limit is.
+    """
+    scratch = scratch or Scratch(versions.sparkSession, "findings")
+    found = scratch.keep(ledger.where(F.size("findings") > 0).groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("findings"))).alias("findings")), "found")
+    n = found.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("findings")), F.lit(0)).alias("spans")).first()
+    few = 200 * n["rows"] + 100 * n["spans"] <= SENT
     kept = [c for c in versions.columns if c not in (text, "blob", "findings")]
-    return versions.select(*[F.col(f"`{c}`") for c in kept], address(text).alias("blob")).join(found, "blob", "left").select(*[F.col(f"`{c}`") for c in kept], "blob", F.coalesce(F.col("findings"), F.array()).cast(FINDING).alias("findings"))
+    return versions.select(*[F.col(f"`{c}`") for c in kept], address(text).alias("blob")).join(F.broadcast(found) if few else found, "blob", "left").select(*[F.col(f"`{c}`") for c in kept], "blob", F.coalesce(F.col("findings"), F.array()).cast(FINDING).alias("findings"))
 
 
 def digest(findings: str, rules: tuple[Rule, ...], base: bool) -> Column:
