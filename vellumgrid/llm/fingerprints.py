@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, ship, table
@@ -145,68 +146,68 @@ def near_pairs(prints: DataFrame, similarity: float = SIMILARITY, bands: int = B
     return dealt.groupBy("deal").applyInArrow(run, "id long, like long, jaccard double").where("id <> like").distinct().unionByName(copies)
 
 
-def with_previous(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(part, context, id, text): rows range-partitioned by (id, text), each partition sorted and begun by a copy of the row that stands before its first one.
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
-    The one before the very first is the very last. Only the ids at the edges of the
-    ranges, two for each partition, come to the driver.
+
+def _edited(ids: list, texts: list[str], before: list[str], own: np.ndarray, nexts: np.ndarray) -> list[pa.Array]:
+    """Columns of _RESULT for texts, those that stand before them, and the signatures of both."""
+    cuts = [len(x) // 3 for x in texts]
+    edited = [x[: len(x) - n] + y[:n] for x, y, n in zip(texts, before, cuts)]
+    changed = signatures(pa.array(edited, pa.string()))
+    return [
+        pa.array(ids, pa.int64()), pa.array([len(x) for x in texts], pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()), pa.array(printed(own), pa.string()), pa.array(printed(changed), pa.string()),
+        pa.array(likeness(own, changed)), pa.array(likeness(own, nexts)),
+    ]
+
+
+def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """Fingerprints of each text, and of it with its last third replaced by the start of the text before it in order of id (the next in descending order).
+
+    Rows are range-partitioned and sorted by id and text once; null ids come first and
+    the row before the first one is the last. A partition gives the results of all its
+    rows but its first, and the texts of its first and last; those few, two for each
+    partition that has rows, are joined by the partitions' order for the rest.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    order = F.struct(F.coalesce("id", F.lit(-(2**63))).alias("a"), F.col("id").isNotNull().alias("b"), F.xxhash64("text").alias("c"))
+    ship(spark)
+    scratch = scratch or Scratch(spark, "edited")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(plain.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
-    bounds = [int(x) for x in cuts]
-    part = F.when(F.col("id").isNull(), 0)
-    part = part.otherwise(F.aggregate(F.array(*[F.lit(b).cast("long") for b in bounds]), F.lit(0), lambda acc, b: acc + (F.col("id") >= b).cast("int"))) if bounds else part.otherwise(0)
-    parted = plain.select(part.cast("int").alias("part"), "id", "text")
-    edges = sorted(parted.select("part", order.alias("o")).groupBy("part").agg(F.max("o").alias("last")).collect(), key=lambda r: r["part"])
-    # last rows of each range are wanted again by the next one that has rows
-    wanted = [(r["last"]["a"], r["last"]["b"], r["last"]["c"], edges[(i + 1) % len(edges)]["part"]) for i, r in enumerate(edges)]
-    again = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).alias("b"), F.lit(c).cast("long").alias("c"), F.lit(p).cast("int").alias("p")) for a, b, c, p in wanted]) if wanted else None
-    if again is None:
-        return parted.select("part", F.lit(False).alias("context"), "id", "text")
-    here = F.filter(again, lambda w: (w["a"] == order["a"]) & (w["b"] == order["b"]) & (w["c"] == order["c"]))
-    copies = F.transform(here, lambda w: F.struct(w["p"].alias("part"), F.lit(True).alias("context")))
-    own = F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("context")))
-    dealt = parted.select(F.explode(F.concat(own, copies)).alias("x"), "id", "text").select("x.part", "x.context", "id", "text")
-    return dealt.repartitionByRange(max(1, len(edges)), "part").sortWithinPartitions("part", F.desc("context"), F.asc_nulls_first("id"), F.xxhash64("text"))
-
-
-def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprints of each text, and of it with its last third replaced by the start of the text before it in order of id (the next in descending order)."""
-    ship(docs.sparkSession)
+    plain = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    ordered = plain.repartitionByRange(n, F.asc_nulls_first("id"), "h").sortWithinPartitions(F.asc_nulls_first("id"), "h", "text").select(F.spark_partition_id().alias("part"), "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before, sig = None, "", None
+        first, last, sig, part = None, None, None, None
         for whole in batches:
             for batch in pieces(whole, "text"):
-                columns = [batch.column(c).to_pylist() for c in ("part", "context", "id", "text")]
+                ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
                 own = signatures(batch.column("text"))
-                texts, ids, last, nexts, rows = [], [], [], [], []
-                for i, (p, context, doc, x) in enumerate(zip(*columns)):
-                    if p == part and not context:
-                        cut = len(x) // 3
-                        texts.append(x[: len(x) - cut] + before[:cut])
-                        ids.append(doc)
-                        last.append(len(x))
-                        nexts.append(sig)
-                        rows.append(i)
-                    part, before, sig = p, x, own[i]
-                if not ids:
-                    continue
-                changed = signatures(pa.array(texts, pa.string()))
-                mine = own[rows]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()), pa.array(last, pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts]), pa.array(printed(mine)), pa.array(printed(changed)),
-                        pa.array(likeness(mine, changed)), pa.array(likeness(mine, np.array(nexts))),
-                    ],
-                    names=names,
-                )
-
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    return with_previous(docs, id, text).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+                before, nexts = [last[1] if last else "", *texts[:-1]], np.concatenate([own[:1] if sig is None else sig[None], own[:-1]])
+                skip = first is None
+                if skip:
+                    first, part = (ids[0], texts[0]), batch.column("part")[0].as_py()
+                last, sig = (ids[-1], texts[-1]), own[-1]
+                rows = _edited(ids[skip:], texts[skip:], before[skip:], own[skip:], nexts[skip:])
+                none = len(ids) - skip
+                yield pa.RecordBatch.from_arrays([*rows, *[pa.nulls(none, t) for t in edge]], names=names)
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, t) for t in kinds], pa.array([part], pa.int32()), pa.array([first[0]], pa.int64()), pa.array([first[1]], pa.string()), pa.array([last[1]], pa.string())], names=names)
+
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    edge = [pa.int32(), pa.int64(), pa.string(), pa.string()]
+    names = [*(x.split()[0] for x in _RESULT.split(", ")), "part", "first_id", "first_text", "last_text"]
+    done = scratch.keep(ordered.mapInArrow(run, f"{_RESULT}, part int, first_id long, first_text string, last_text string"), "edited")
+    edges = done.where("part is not null")
+    # (numbers alone are put in order in one task, a row for each partition)
+    own = W.orderBy("part")
+    order = edges.select("part", F.coalesce(F.lag("part").over(own), F.max("part").over(own.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("previous"))
+    firsts = edges.select("part", "first_id", "first_text").join(order, "part").join(edges.select(F.col("part").alias("previous"), "last_text"), "previous")
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, before = batch.column("first_text"), batch.column("last_text")
+            yield pa.RecordBatch.from_arrays(_edited(batch.column("first_id").to_pylist(), texts.to_pylist(), before.to_pylist(), signatures(texts), signatures(before)), names=names[:7])
+
+    return done.where("part is null").select(*names[:7]).unionByName(firsts.select("first_id", "first_text", "last_text").mapInArrow(rest, _RESULT))
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
