@@ -4,8 +4,10 @@ One linear support vector machine for each family says how a text differs from t
 families; within the best family, one-versus-one machines of its languages vote. All work
 on the frequencies of hashed byte n-grams of the whole text, so scoring is table look-ups
 in numpy. The machines are fitted on at most SAMPLE labelled rows of each language,
-chosen by a hash of the id, of texts up to LONGEST characters; that sample, and nothing
-that grows with the input, comes to the driver.
+chosen by a hash of id and text, of texts up to LONGEST characters; that sample, and
+nothing that grows with the input, comes to the driver. Languages are learned from the
+commonest down to LANGUAGES of them and as long as their machines, families and pairs,
+are MACHINES at most (some 256 kB each); rarer values of a dirty column are no examples.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and so is every
 text if nothing can be learned; with one learned language all others get it; rows with a
@@ -15,6 +17,7 @@ alike; other columns pass through where asked for.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -24,12 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, ship, table
+from .common import Scratch, crc_of_id, ship, table
 from .ngrams import counts, logistic, mean_scores, platt, svm
+from .sampling import drawn, fetched, hashed
 from .shingles import bytes_of, pieces
 
 SAMPLE = 1000
 LONGEST = 50_000
+LANGUAGES = 100
+MACHINES = 256
 UNKNOWN = "und"
 #: What the pipeline asks of a score; clean texts of a word or two come near to one half.
 LEAST = 0.3
@@ -44,8 +50,22 @@ _FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes.spli
 
 
 def family(lang: str) -> str:
-    """A language's family; one that isn't listed is a family of its own."""
-    return _FAMILY.get(lang.split("-")[0].lower(), lang)
+    """A language's family; those that aren't listed are one family together."""
+    return _FAMILY.get(lang.split("-")[0].lower(), "other")
+
+
+def learnable(langs: list[str], machines: int = MACHINES) -> list[str]:
+    """The first of ``langs``, in order, whose families and pairs need no more than ``machines``."""
+    out: list[str] = []
+    sizes: dict[str, int] = {}
+    for x in langs:
+        more = dict(sizes)
+        more[family(x)] = more.get(family(x), 0) + 1
+        if len(more) + sum(n * (n - 1) // 2 for n in more.values()) > machines:
+            continue
+        sizes = more
+        out.append(x)
+    return out
 
 
 @dataclass
@@ -66,29 +86,31 @@ class Model:
         n = len(self.families)
         best = p[:, :n].argmax(axis=1)
         sure = p[np.arange(len(p)), best] / np.maximum(p[:, :n].sum(axis=1), 1e-12)
-        lang, score = [], []
+        lang, score = np.empty(len(p), object), sure.copy()
         where = {pair: n + i for i, pair in enumerate(self.pairs)}
-        for i, k in enumerate(best):
-            own = self.languages[self.families[k]]
-            if len(own) == 1:
-                lang.append(own[0])
-                score.append(float(sure[i]))
-                continue
-            votes, chance = dict.fromkeys(own, 0.0), dict.fromkeys(own, 1.0)
-            for a, b in combinations(own, 2):
-                q = float(p[i, where[a, b]])
-                votes[a if q >= 0.5 else b] += 1
-                chance[a] = min(chance[a], q)
-                chance[b] = min(chance[b], 1 - q)
-            top = max(own, key=lambda x: (votes[x], chance[x], x))
-            lang.append(top)
-            score.append(float(sure[i]) * chance[top])
-        return lang, score
+        for k, name in enumerate(self.families):
+            rows, own = np.flatnonzero(best == k), self.languages[name]
+            votes, chance = np.zeros((len(rows), len(own))), np.ones((len(rows), len(own)))
+            for i, j in combinations(range(len(own)), 2):
+                q = p[rows, where[own[i], own[j]]]
+                votes[:, i] += q >= 0.5
+                votes[:, j] += q < 0.5
+                chance[:, i] = np.minimum(chance[:, i], q)
+                chance[:, j] = np.minimum(chance[:, j], 1 - q)
+            # most votes, then the better chance, then the later name (own is in order); chances are below 2
+            rank = 2 * votes + chance
+            top = len(own) - 1 - rank[:, ::-1].argmax(axis=1) if len(own) else np.zeros(len(rows), int)
+            lang[rows] = np.array(own, object)[top]
+            score[rows] *= chance[np.arange(len(rows)), top]
+        return lang.tolist(), score.tolist()
 
 
 def fit(rows: list[tuple[str, str]]) -> Model:
-    """A model from (text, language) examples."""
-    langs = sorted({x for _, x in rows})
+    """A model from (text, language) examples; languages beyond what MACHINES allow are left out, rarer ones first."""
+    seen = Counter(x for _, x in rows)
+    may = set(learnable(sorted(seen, key=lambda x: (-seen[x], x))))
+    rows = [r for r in rows if r[1] in may]
+    langs = sorted(may)
     texts = pa.array([x for x, _ in rows], pa.string())
     features = counts(texts)
     fam = np.array([family(x) for _, x in rows])
@@ -110,16 +132,15 @@ def fit(rows: list[tuple[str, str]]) -> Model:
 
 
 def sample(labelled: DataFrame, id: str, text: str, lang: str, most: int = SAMPLE, longest: int = LONGEST) -> list[tuple[str, str]]:
-    """At most ``most`` (text, language) rows of each language, by the smallest hashes of their ids."""
-    fit_for = labelled.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull() & F.col(f"`{id}`").isNotNull())
-    sized = {r["lang"]: r["count"] for r in fit_for.groupBy(F.col(f"`{lang}`").alias("lang")).count().collect()}  # a row for each language
-    hashed = F.pmod(F.xxhash64(F.lit(11), F.col(f"`{id}`")), F.lit(1 << 30))
-    bar = F.coalesce(*[F.when(F.col(f"`{lang}`") == x, F.lit(int(min(1.0, 1.3 * most / n) * (1 << 30)))) for x, n in sized.items()], F.lit(0)) if sized else F.lit(0)
-    rows = fit_for.where((hashed <= bar) & (F.char_length(F.col(f"`{text}`")) <= longest)).select(hashed.alias("h"), F.col(f"`{text}`").alias("t"), F.col(f"`{lang}`").alias("l")).collect()
-    out: list[tuple[str, str]] = []
-    for x in sorted(sized):
-        out += [(r["t"], r["l"]) for r in sorted((r for r in rows if r["l"] == x), key=lambda r: (r["h"], r["t"]))[:most]]
-    return out
+    """At most ``most`` (text, language) rows of each of the LANGUAGES commonest languages, by the smallest hashes of id and text."""
+    scratch = Scratch(labelled.sparkSession, "language")
+    good = labelled.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull() & F.col(f"`{id}`").isNotNull() & (F.char_length(F.col(f"`{text}`")) <= longest))
+    # (the language is hashed too: a row that repeats with another one is another example)
+    h = F.xxhash64(hashed(11, id, text), F.col(f"`{lang}`"))
+    pairs = good.select(F.col(f"`{id}`").alias("id"), h.alias("h"), F.col(f"`{lang}`").alias("label"))
+    rows = fetched(good, drawn(pairs, scratch, most, LANGUAGES), id, h, [F.col(f"`{text}`")])
+    scratch.clear()
+    return rows
 
 
 def lettered(texts: pa.Array) -> np.ndarray:

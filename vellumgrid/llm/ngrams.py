@@ -70,18 +70,20 @@ def mean_scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros((0, weights.shape[1]))
 
 
-def _mean_scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
+def _mean_scores(texts: pa.Array, weights: np.ndarray, cells: int = 1 << 20) -> np.ndarray:
     data, bounds = bytes_of(texts)
     out = np.zeros((len(texts), weights.shape[1]))
     if len(data) == 0:
         return out
-    total = np.zeros((len(data), weights.shape[1]), np.float32)
-    for h in hashes(data, bounds):
-        total += weights[h]
-    size = np.diff(bounds)
-    full = np.flatnonzero(size)
-    out[full] = np.add.reduceat(total, bounds[:-1][full], axis=0, dtype=np.float64) / size[full, None]
-    return out
+    every, step = list(hashes(data, bounds)), max(1, cells // max(1, weights.shape[1]))
+    for a in range(0, len(data), step):  # so many table cells at a time, however long a text
+        b = min(len(data), a + step)
+        total = sum(weights[h[a:b]] for h in every)
+        first, last = np.searchsorted(bounds, a, side="right") - 1, np.searchsorted(bounds, b, side="left")
+        own = np.arange(first, last)
+        own = own[np.minimum(bounds[own + 1], b) > np.maximum(bounds[own], a)]
+        out[own] += np.add.reduceat(total, np.maximum(bounds[own], a) - a, axis=0, dtype=np.float64)
+    return out / np.maximum(np.diff(bounds), 1)[:, None]
 
 
 def svm(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, epochs: int = 8, penalty: float = 1e-4, seed: int = 5, balance: bool = True) -> np.ndarray:

@@ -8,12 +8,14 @@ Each starts from the labelled examples. For ROUNDS rounds each scores a pool wit
 labels, and its most confident ones, by class as in the labels, become examples of the
 other. Both are then calibrated on labelled documents kept apart, and the score of a
 document is the chance from the sum of their calibrated log-odds, weighted as fits best
-there. Fitting takes at most SAMPLE labelled rows of each class and POOL others, chosen
-by a hash of the id, of texts up to LONGEST characters; all documents are scored.
+there. Fitting takes at most SAMPLE labelled rows of each class and POOL rows without
+label (of which ROUNDS * STEP at most become examples of a view), chosen by a hash of id
+and text, of texts up to LONGEST characters; all documents are scored.
 
 Edge cases: a null text is scored as an empty one; null source or language is a value of
 its own; without labels of both classes every score is the share of good rows; null
-labels are ignored, of a repeated id's labels one is used; repeated rows score alike.
+labels, and all labels of an id that has both, are ignored; equal rows are one example;
+repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, ship, table
+from .common import Scratch, crc_of_id, ship, table
 from .ngrams import counts, logistic, mean_scores, platt, svm
+from .sampling import agreed, drawn, fetched, hashed
 from .shingles import bytes_of, pieces
 
 SAMPLE = 1500
@@ -160,21 +163,17 @@ def _mixed(z: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, pool: int = POOL, longest: int = LONGEST) -> tuple[list[tuple], list[tuple]]:
-    """Bounded labelled rows of each class and rows without label, by the smallest hashes of their ids."""
-    hashed = F.pmod(F.xxhash64(F.lit(31), F.col("doc_id")), F.lit(1 << 30))
-    known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
-    n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    labelled = labels.where("doc_id is not null and quality is not null").select("doc_id").distinct()
-    total = docs.select("doc_id").join(labelled, "doc_id", "left_anti").count()
-    bar = lambda want, of: int(min(1.0, 1.3 * want / max(1, of)) * (1 << 30))
-    few = F.broadcast(known.where(hashed <= F.when(F.col("label") == 1, bar(most, n.get(1, 1))).otherwise(bar(most, n.get(0, 1)))))  # about 1.3 * most rows of each class
-    plain = docs.where(F.col("text").isNotNull() & (F.char_length("text") <= longest)).select("doc_id", hashed.alias("h"), F.col("text").alias("t"), F.col("source").cast("string").alias("s"), F.col("lang").cast("string").alias("l"))
-    rows = plain.join(few, "doc_id").drop("doc_id").collect()
-    out = []
-    for x in (0, 1):
-        out += [(r["t"], r["s"], r["l"], x) for r in sorted((r for r in rows if r["label"] == x), key=lambda r: (r["h"], r["t"]))[:most]]
-    others = plain.where(F.col("h") <= bar(pool, total)).join(labelled, "doc_id", "left_anti").collect()
-    return out, [(r["t"], r["s"], r["l"]) for r in sorted(others, key=lambda r: (r["h"], r["t"]))[:pool]]
+    """Bounded labelled rows of each class, and rows without any label, by the smallest hashes of id and text."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    short = docs.where(F.col("text").isNotNull() & (F.char_length("text") <= longest))
+    h, columns = hashed(31, "doc_id", "text"), [F.col("text"), F.col("source").cast("string"), F.col("lang").cast("string")]
+    rows = short.select(F.col("doc_id").alias("id"), h.alias("h"))
+    labelled = fetched(short, drawn(rows.join(agreed(labels, "doc_id", "quality"), "id"), scratch, most, 2), "doc_id", h, columns)
+    marked = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").alias("id")).distinct()
+    others = rows.where("id is not null").join(marked, "id", "left_anti").withColumn("label", F.lit(0))
+    free = fetched(short, drawn(others, scratch, pool, 1), "doc_id", h, columns)
+    scratch.clear()
+    return labelled, [r[:3] for r in free]
 
 
 def score(docs: DataFrame, model: Model, keep: list[Column] = ()) -> DataFrame:

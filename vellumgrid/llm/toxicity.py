@@ -1,10 +1,11 @@
 """Toxicity by a weighted lexicon, matched by an Aho-Corasick automaton.
 
 Texts are folded first: lower case, homoglyphs of Latin letters (Cyrillic, Greek, full
-width) and digits or signs that stand for letters replaced, invisible characters dropped,
-everything but letters and digits a space. The automaton finds all terms in one pass over
-the whole folded text: words, and stems (a word's beginning). Terms inside an exception
-phrase don't count. The weights of what is found are summed and normalised by length; a
+width) replaced, invisible characters dropped, everything but letters, digits and the
+signs that can stand for letters a space. Digits and signs between letters are read as
+letters; at a word's ends they may as well not belong to it ("idiot!", "$cum"), so it is
+read both ways. The automaton finds all terms in one pass over the whole folded text:
+words, and stems (a word's beginning). Terms inside an exception phrase don't count. The weights of what is found are summed and normalised by length; a
 logistic curve of both sums gives the score.
 
 The lexicon is learned: a term's weight is its smoothed log-odds among toxic documents;
@@ -12,15 +13,17 @@ a stem replaces its words where it is as telling and several words share it. Exc
 phrases are given or learned (a term with its neighbour that only clean documents have).
 The curve is fitted on scores of documents by the lexicon of the other half, so that
 chance terms don't look better than they are. Near copies count once. Learning takes at most SAMPLE labelled
-rows of each class, chosen by a hash of the id, with texts up to LONGEST characters.
+rows of each class, chosen by a hash of id and text, with texts up to LONGEST characters.
 
 Edge cases: null and empty texts have no term and the lowest score; without labels of
-both classes the lexicon is empty and all scores are the share of toxic rows; labels that
-are null or repeated ids are dropped; repeated documents are scored alike.
+both classes the lexicon is empty and all scores are the share of toxic rows; null labels,
+and all labels of an id that has both, are ignored; equal rows are one example; repeated
+documents are scored alike.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -30,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, ship, table
+from .common import Scratch, crc_of_id, ship, table
 from .fingerprints import signatures
 from .ngrams import logistic
+from .sampling import agreed, drawn, fetched, hashed
 
 SAMPLE = 2000
 LONGEST = 50_000
@@ -40,12 +44,14 @@ TERMS = 20_000
 #: Estimated Jaccard similarity of near copies.
 NEAR = 0.8
 STEMS = range(4, 9)
-EXCEPTIONS = ("trash can", "trash cans", "trash bin", "clown fish", "idiot proof", "pond scum")
 _LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ɑ": "a", "ɡ": "g", "ı": "i", "ⅼ": "l", "ո": "n", "օ": "o", "ս": "u",
-    "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i",
 }
+_FOR_LETTERS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
+_SIGNS = "@$!"
+_READ = str.maketrans(_FOR_LETTERS)
+_DISGUISED = re.compile(f"(?<= )[^ 0-9{_SIGNS}]*[0-9{_SIGNS}][^ ]*")
 _DROPPED = 0xFFFF
 
 
@@ -56,7 +62,7 @@ def _tables() -> np.ndarray:
         low = c.lower()
         low = low if len(low) == 1 else c
         low = _LOOKALIKES.get(low, low)
-        if low.isalnum() and ord(low) < _DROPPED:
+        if (low.isalnum() or low in _SIGNS) and ord(low) < _DROPPED:
             out[i] = ord(low)
         elif i in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF) or 0x300 <= i < 0x370:
             out[i] = _DROPPED
@@ -67,16 +73,34 @@ _cached: list[np.ndarray] = []
 
 
 def fold(text: str) -> str:
-    """A text as the automaton sees it, with a space at both ends."""
+    """A text as the automaton sees it, with a space at both ends; after a line break, other readings of some of its words."""
     if not _cached:
         _cached.append(_tables())
     codes = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), np.uint32)
     out = np.where(codes < 0x10000, _cached[0][np.minimum(codes, 0xFFFE)], codes)
-    # a sign only stands for a letter next to one: what ends a word stays an end
     out = out[out != _DROPPED]
     gap = out == 0x20
     out = out[~(gap & np.concatenate([[False], gap[:-1]]))]
-    return out.astype("<u4").tobytes().decode("utf-32-le", "replace")
+    plain = out.astype("<u4").tobytes().decode("utf-32-le", "replace")
+    others: list[str] = []
+
+    def read(found: re.Match) -> str:
+        word = found[0]
+        core = word.strip("0123456789" + _SIGNS)
+        if not core:
+            return re.sub(f"[{_SIGNS}]+", " ", word)  # a number
+        if core != word:  # what is at its ends may belong to it
+            lead, tail = word[: word.index(core)], word[word.index(core) + len(core) :]
+            others.extend({x.translate(_READ) for x in (lead + core, core + tail, word) if x != core})
+        return core.translate(_READ)
+
+    plain = re.sub(" +", " ", _DISGUISED.sub(read, plain))
+    return f"{plain}\n {' '.join(others)} " if others else plain
+
+
+def words_in(folded: str) -> list[str]:
+    """The words of a folded text in order, without other readings."""
+    return folded.partition("\n")[0].split()
 
 
 @dataclass
@@ -84,7 +108,7 @@ class Lexicon:
     """Terms as the automaton holds them (" word " or " stem") with weights, exception phrases, and the curve."""
 
     weights: dict[str, float]
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     curve: np.ndarray = field(default_factory=lambda: np.array([-3.0, 0.0, 0.0]))
 
     def automaton(self):
@@ -104,14 +128,17 @@ class Lexicon:
         parts = [fold(x) for x in texts]
         ends = np.cumsum([len(x) for x in parts])
         out = np.zeros((len(texts), 2))
-        out[:, 1] = [x.count(" ") - 1 for x in parts]
+        out[:, 1] = [max(0, x.partition("\n")[0].count(" ") - 1) for x in parts]
         if not self.weights:
             return out
         found = [(at, *what) for at, what in machine.iter("".join(parts))]
-        free = [(at - n + 1, at) for at, n, _, is_free in found if is_free]
-        for at, n, weight, is_free in found:
-            if not is_free and not any(a <= at - n + 1 and at <= b for a, b in free):
-                out[np.searchsorted(ends, at, side="right"), 0] += weight
+        free = sorted((at - n + 1, at) for at, n, _, is_free in found if is_free)
+        begins = np.array([a for a, _ in free], np.int64)
+        reach = np.maximum.accumulate(np.array([-1, *(b for _, b in free)], np.int64))  # how far those that begin so early go
+        last, size = np.array([[at, n] for at, n, _, is_free in found if not is_free], np.int64).reshape(-1, 2).T
+        weight = np.array([w for _, _, w, is_free in found if not is_free])
+        counts = reach[np.searchsorted(begins, last - size + 1, side="right")] < last
+        np.add.at(out[:, 0], np.searchsorted(ends, last[counts], side="right"), weight[counts])
         return out
 
     def scores(self, totals: np.ndarray) -> np.ndarray:
@@ -170,7 +197,7 @@ def _exceptions(lexicon: Lexicon, folded: list[str], toxic: np.ndarray, least: i
     telling = {t.strip() for t in lexicon.weights if t.endswith(" ")}
     seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
     for text, t in zip(folded, toxic):
-        words = text.split()
+        words = words_in(text)
         seen[bool(t)].update({f"{a} {b}" for a, b in zip(words, words[1:]) if a in telling or b in telling})
     return tuple(sorted(p for p, n in seen[False].items() if n >= least and not seen[True][p]))
 
@@ -234,24 +261,20 @@ def learn(rows: list[tuple[str, int]]) -> Lexicon:
         other, own = np.flatnonzero(half != side), np.flatnonzero(half == side)
         totals[own] = Lexicon(_terms([words[i] for i in other], toxic[other])).totals([texts[i] for i in own])
     out = Lexicon(_terms(words, toxic))
-    out.exceptions = tuple(dict.fromkeys([*EXCEPTIONS, *_exceptions(out, folded, toxic)]))
+    out.exceptions = _exceptions(out, folded, toxic)
     out.curve = _curve(totals, toxic)
     return out
 
 
 def sample(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: int = SAMPLE, longest: int = LONGEST) -> list[tuple[str, int]]:
-    """At most ``most`` (text, label) rows of each class, by the smallest hashes of their ids."""
-    hashed = F.pmod(F.xxhash64(F.lit(23), F.col("id")), F.lit(1 << 30))
-    known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).where("id is not null and label in (0, 1)").dropDuplicates(["id"])
-    n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    bar = F.when(F.col("label") == 1, int(min(1.0, 1.3 * most / max(1, n.get(1, 1))) * (1 << 30))).otherwise(int(min(1.0, 1.3 * most / max(1, n.get(0, 1))) * (1 << 30)))
-    few = F.broadcast(known.where(hashed <= bar))  # about 1.3 * most rows of each class
-    texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("t")).where(F.col("t").isNotNull() & (F.char_length("t") <= longest))
-    rows = texts.join(few, "id").select(hashed.alias("h"), "t", "label").collect()
-    out = []
-    for x in (0, 1):
-        out += [(r["t"], x) for r in sorted((r for r in rows if r["label"] == x), key=lambda r: (r["h"], r["t"]))[:most]]
-    return out
+    """At most ``most`` (text, label) rows of each class, by the smallest hashes of id and text."""
+    scratch = Scratch(docs.sparkSession, "toxic")
+    short = docs.where(F.col(f"`{text}`").isNotNull() & (F.char_length(F.col(f"`{text}`")) <= longest))
+    h = hashed(23, id, text)
+    pairs = short.select(F.col(f"`{id}`").alias("id"), h.alias("h")).join(agreed(labels, id, label), "id")
+    rows = fetched(short, drawn(pairs, scratch, most, 2), id, h, [F.col(f"`{text}`")])
+    scratch.clear()
+    return rows
 
 
 def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: list[Column] = ()) -> DataFrame:
