@@ -67,4 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        scratch.clear(docs)  # what the stage read is not needed any more
     return STAGES[-1][1](spark, docs, sf_dir)
