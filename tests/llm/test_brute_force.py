@@ -241,7 +241,7 @@ def test_bands_find_the_links(spark):
     links = [(a, b) for a, b in combinations(sorted(sets), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     root = {d: d for d in sets}
     scratch = Scratch(spark, "test")
-    for g in fingerprints.near_pairs(fingerprints.fingerprints(docs), scratch=scratch).collect():
+    for g in fingerprints.near_pairs(docs, scratch=scratch).collect():
         a, b = root[g.id], root[g.like]
         root = {k: a if v == b else v for k, v in root.items()}
     assert links and sum(root[a] == root[b] for a, b in links) >= 0.9 * len(links)

@@ -76,7 +76,7 @@ def test_fingerprints_by_brute_force(spark):
 def test_near_pairs_are_verified(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join([*words[:199], "x"])), (4, " ".join(reversed(words))), (5, ""), (6, None)]
-    got = {(r.id, r.like): r.jaccard for r in fingerprints.near_pairs(fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    got = {(r.id, r.like): r.jaccard for r in fingerprints.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2, 1] == 1.0 and got[3, 1] == pytest.approx(195 / 197) and set(got) == {(2, 1), (3, 1)}
 
 
@@ -248,10 +248,42 @@ def test_repetitions_are_those_of_the_mix(spark, odd):
     assert source_mix.repetitions(odd.limit(0)).count() == 0
 
 
+def _groups(texts, percent):
+    """The smallest id of each document's group, from all shared shingles."""
+    sets, holders = {}, {}
+    for d, t in texts.items():
+        w = [x for x in re.split("[ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) if x]
+        sets[d] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+        for g in sets[d]:
+            holders.setdefault(g, []).append(d)
+    root = {d: d for d in sets}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for d, own in sets.items():
+        shared = {}
+        for g in own:
+            for other in holders[g]:
+                if other < d:
+                    shared[other] = shared.get(other, 0) + 1
+        for other, n in shared.items():
+            if 100 * n >= percent * (len(own) + len(sets[other]) - n):
+                a, b = sorted((top(d), top(other)))
+                root[b] = a
+    return {d: top(d) for d in sets}
+
+
 def test_pipeline_stage_by_stage(spark):
+    """Each stage keeps what brute force says it should, no more and no less."""
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
     docs = documents(spark, MIDDLE)
-    extra = spark.createDataFrame([(10**6, "12 34 !!", "en", "src0", 8), (10**6 + 1, None, None, None, None)], COLUMNS)
-    docs = docs.unionByName(extra)
+    extra = [(10**6, "12 34 !!", "en", "src0", 8), (10**6 + 1, None, None, None, None), (10**6 + 2, " ".join(f"word{i}" for i in range(40)), "en", "src0", 200), (10**6 + 3, " ".join(f"word{i}" for i in range(41)), None, None, None)]
+    docs = docs.unionByName(spark.createDataFrame(extra, COLUMNS))
     scratch = Scratch(spark, "test")
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
@@ -259,13 +291,61 @@ def test_pipeline_stage_by_stage(spark):
         kept[name] = docs
         if name != "token_store":
             assert docs.columns == before.columns
-    ids = {k: {r.doc_id for r in v.select("doc_id").collect()} for k, v in kept.items()}
-    assert ids["language"] == {r.doc_id for r in documents(spark, MIDDLE).collect()}
-    near = near_dedup.near_duplicates(documents(spark, MIDDLE), percent=80).where("kept").collect()
-    assert ids["near_dedup"] == {r.id for r in near}
-    items = [decontaminate.folded(r.text)[0].tobytes() for r in spark.read.parquet(f"{MIDDLE}/benchmark.parquet").collect()]
-    text = {r.doc_id: decontaminate.folded(r.text)[0].tobytes() for r in kept["near_dedup"].collect()}
-    leaked = {i for i, t in text.items() if any(x.strip(b" \0") in t for x in items)}
-    assert leaked and not leaked & ids["decontaminate"]
-    assert ids["token_store"] == ids["mix"] <= ids["decontaminate"]
-    assert kept["token_store"].count() == kept["mix"].count()
+    texts = {k: {r.doc_id: r.text for r in v.collect()} for k, v in kept.items() if k != "token_store"}
+    # language: all of the tables' prose stays, what has no letter goes
+    assert set(texts["language"]) - {10**6 + 2, 10**6 + 3} == {r.doc_id for r in documents(spark, MIDDLE).collect()}
+    # near duplicates: the smallest of each group
+    roots = _groups(texts["language"], corpus_pipeline.SIMILARITY)
+    assert set(texts["near_dedup"]) == {d for d, r in roots.items() if d == r} and len(texts["near_dedup"]) < len(roots)
+    # decontamination: what an alignment of everything finds goes, and nothing else
+    items = decontaminate.build([(r.item_id, r.text) for r in spark.read.parquet(f"{MIDDLE}/benchmark.parquet").collect()])
+    folded = {d: decontaminate.folded(t)[0] for d, t in texts["near_dedup"].items()}
+    leaked = {d for d, t in folded.items() if any(_occurs(c, t, int(k)) for c, k in zip(items.codes, items.edits))}
+    assert leaked and set(texts["decontaminate"]) == set(texts["near_dedup"]) - leaked
+    # mix: each document a whole number of times, two at most, and the sources near their targets
+    got = kept["mix"].groupBy("doc_id").count().join(kept["decontaminate"], "doc_id", "right").select("doc_id", "source", "text", F.coalesce("count", F.lit(0)).alias("n")).collect()
+    sizes, taken = {}, {}
+    for r in got:
+        size = len([x for x in re.split("[ \t-\r]+", r.text) if x])
+        sizes.setdefault(r.source, []).append(size)
+        taken[r.source] = taken.get(r.source, 0) + size * r.n
+        assert 0 <= r.n <= 2
+    names = sorted(sizes, key=lambda x: (x is None, (x or "").encode()))
+    weights = {x: (3.0, 1.0, 2.0)[i % 3] for i, x in enumerate(names)}
+    target, free, left = {}, set(names), 1.5 * sum(map(sum, sizes.values()))
+    while over := [x for x in free if left * weights[x] / sum(weights[y] for y in free) > 2 * sum(sizes[x])]:
+        for x in over:
+            target[x] = 2.0 * sum(sizes[x])
+        free -= set(over)
+        left = 1.5 * sum(map(sum, sizes.values())) - sum(target.values())
+        if not free:
+            break
+    target |= {x: left * weights[x] / sum(weights[y] for y in free) for x in free}
+    for x in names:
+        assert abs(taken[x] - target[x]) <= max(sizes[x]) / 2 + 1
+    # token store: the library's ids of every repetition, in order
+    library = Tokenizer.from_file(public_tokenizers.path(token_store.MODEL))
+    want, at = [], 0
+    for r in sorted(kept["mix"].collect(), key=lambda r: (r.doc_id, r.text)):
+        ids = [*library.encode(r.text, add_special_tokens=False).ids, token_store.END]
+        want.append((r.doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(tuple(r) for r in kept["token_store"].collect()) == sorted(want)
+
+
+def _occurs(item, text, k):
+    """Whether ``item`` is in ``text`` with at most k edits, by an alignment of all of it."""
+    row, step = np.zeros(len(text) + 1, np.int64), np.arange(len(text) + 1)
+    for c in item:
+        new = np.append(row[0] + 1, np.minimum(row[1:] + 1, row[:-1] + (text != c)))
+        row = np.minimum.accumulate(new - step) + step
+        if row.min() > k:
+            return False
+    return True
+
+
+def test_the_pipeline_is_its_stages(spark):
+    docs = documents(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL)
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SMALL).collect())) == sorted(map(tuple, docs.collect()))

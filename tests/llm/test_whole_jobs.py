@@ -19,9 +19,9 @@ def test_near_pairs_below_a_looser_smallest_id(spark):
         loose.append([*b[:at], *(f"u{r.integers(10**9)}" for _ in range(70)), *b[at + 70 :]])
     rows = list(enumerate([" ".join(x) for x in [*loose, b, c]]))
     sets = [{tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for _, t in rows]
-    prints = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     for cut in ({}, {"limit": 3000, "most": 5}):
-        got = fingerprints.near_pairs(prints, **cut).collect()
+        got = fingerprints.near_pairs(docs, **cut).collect()
         root = {i: i for i, _ in rows}
         for g in got:
             assert g.like < g.id and g.jaccard == pytest.approx(len(sets[g.id] & sets[g.like]) / len(sets[g.id] | sets[g.like])) and g.jaccard >= 0.8
@@ -84,5 +84,5 @@ def test_ids_with_several_texts(spark, same):
     assert sorted(repr(tuple(dict(zip(names, x))[c] for c in ("doc_id", "n_shingles", "component_id", "kept"))) for x in sql) == _components(rows)
     left = near_dedup.deduplicated(docs).collect()
     assert {(x.doc_id, x.text) for x in left} == {(None, whole(a)), (3, near(d, 3)), (5, min(whole(a), whole(b))), (12, "one")} and len(left) == 4
-    pairs = {(x.id, x.like) for x in fingerprints.near_pairs(fingerprints.fingerprints(docs)).collect()}
+    pairs = {(x.id, x.like) for x in fingerprints.near_pairs(docs).collect()}
     assert pairs == {(7, 5), (9, 5), (8, 3), (10, 8), (11, 8)}

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shipping import ship as send
+
 #: A word: a run of anything but space, tab, newline, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,11 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none (tests, a laptop) a temporary folder is made and
-    set, which is right only because there everything runs on one machine.
+    Where a session on one machine (tests, a laptop) names none, a temporary folder is
+    made and set; on a cluster that would be wrong, and is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share")
         found = "file://" + tempfile.mkdtemp(prefix="vellumgrid-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -86,9 +91,6 @@ class Scratch:
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-_shipped: set[str] = set()
-
-
 #: Of what goes to a Python worker at once; rows of whole texts are large.
 BATCH_BYTES = 4 << 20
 BATCH_ROWS = 2000
@@ -96,26 +98,10 @@ BATCH_ROWS = 2000
 
 def ship(spark: SparkSession) -> None:
     """Give executors this package, for sessions whose workers can't import it themselves, and keep Arrow batches small."""
-    import os
-    import zipfile
-
     for key, most, usual in (("maxBytesPerBatch", BATCH_BYTES, 64 << 20), ("maxRecordsPerBatch", BATCH_ROWS, 10000)):
         if str(spark.conf.get(f"spark.sql.execution.arrow.{key}", str(usual))).rstrip("b") in (str(usual), "-1"):
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    to = os.path.join(tempfile.mkdtemp(prefix="vellumgrid-"), "vellumgrid.zip")
-    with zipfile.ZipFile(to, "w") as z:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.join("vellumgrid", os.path.relpath(full, top)))
-    sc.addPyFile(to)
-    _shipped.add(sc.applicationId)
-    atexit.register(_forget, os.path.dirname(to))
+    send(spark)
 
 
 def crc_of_id(col: str = "doc_id"):

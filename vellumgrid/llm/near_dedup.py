@@ -34,7 +34,7 @@ even with other rows of its id). Rows with a null id are linked with nothing and
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -234,13 +234,25 @@ def only(docs: DataFrame, ids: DataFrame, id: str, how: str = "left_semi", most:
     return docs.join(F.broadcast(ids) if few else ids, F.col(f"`{id}`").cast("long") == F.col("__id"), how)
 
 
-def confirmed(docs: DataFrame, members: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", percent: int = PERCENT, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
-    """A spanning forest (a, b) of the links within the clusters ``members`` (cluster, no, head, n_shingles, set, sketch)."""
+def clustered(bands: DataFrame, scratch: Scratch) -> DataFrame:
+    """(no, cluster) of the classes that share a ``key`` with others, from (no, key): stars around each key's smallest, never pairs."""
+    least = bands.groupBy("key").agg(F.min("no").alias("first"), F.max("no").alias("last")).where("first < last").select("key", "first")
+    stars = bands.join(least, "key").where("no <> first").select(F.col("no").alias("a"), F.col("first").alias("b"))
+    return components(stars, scratch).select(F.col("id").alias("no"), F.col("component").alias("cluster"))
+
+
+def compared(docs: DataFrame, members: DataFrame, scratch: Scratch, run: Callable[[pa.Table], pa.Table], schema: str, columns: tuple[str, ...], id: str, text: str, percent: int, limit: int, most: int) -> DataFrame:
+    """``run`` on the ``columns`` and shingles of each task of the clusters ``members`` (cluster, no, head, n_shingles, set and more)."""
     heads = scratch.keep(members.select(F.col("head").alias("__id")).distinct(), "heads")
     # (an id may repeat, with one text or several: a set is wanted once, and only if it is a member's)
     sets = sets_of(only(docs.select(F.col(f"`{id}`"), F.col(f"`{text}`")), heads, id), text).dropDuplicates(["set"])
-    tasks = deal(members.select("cluster", "no", "n_shingles", "set", "sketch"), scratch, percent, limit, most)
-    dealt = sets.join(tasks, "set").select("cluster", F.explode("tasks").alias("task"), "no", "sketch", "shingles")
+    tasks = deal(members, scratch, percent, limit, most).select("set", "cluster", "tasks", *columns)
+    dealt = sets.join(tasks, "set").select("cluster", F.explode("tasks").alias("task"), *columns, "shingles")
+    return dealt.select(F.xxhash64("cluster", "task").alias("deal"), *columns, "shingles").groupBy("deal").applyInArrow(run, schema)
+
+
+def confirmed(docs: DataFrame, members: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", percent: int = PERCENT, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
+    """A spanning forest (a, b) of the links within the clusters ``members`` (cluster, no, head, n_shingles, set, sketch)."""
 
     def run(t: pa.Table) -> pa.Table:
         numbers = t.column("no").to_numpy()
@@ -249,7 +261,7 @@ def confirmed(docs: DataFrame, members: DataFrame, scratch: Scratch, id: str = "
         found = forest(numbers, sets, sketch, percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    return dealt.select(F.xxhash64("cluster", "task").alias("deal"), "no", "sketch", "shingles").groupBy("deal").applyInArrow(run, "a long, b long")
+    return compared(docs, members, scratch, run, "a long, b long", ("no", "sketch"), id, text, percent, limit, most)
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
@@ -261,11 +273,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", per
     classes = scratch.keep(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
     width = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width)) for i in range(BANDS)])
-    bands = classes.where("n_shingles > 1").select("no", F.explode(keys).alias("key"))
-    least = bands.groupBy("key").agg(F.min("no").alias("first"), F.max("no").alias("last")).where("first < last").select("key", "first")
-    stars = bands.join(least, "key").where("no <> first").select(F.col("no").alias("a"), F.col("first").alias("b"))
-    clusters = components(stars, scratch)
-    members = scratch.keep(classes.join(clusters.select(F.col("id").alias("no"), F.col("component").alias("cluster")), "no"), "members")
+    clusters = clustered(classes.where("n_shingles > 1").select("no", F.explode(keys).alias("key")), scratch)
+    members = scratch.keep(classes.join(clusters, "no"), "members")
     links = scratch.keep(confirmed(docs, members, scratch, id, text, percent, limit, most), "confirmed")
     # classes that an id has beside its first one are linked with that
     often = sets.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")

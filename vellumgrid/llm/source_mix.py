@@ -17,6 +17,11 @@ Edge cases: a null text or source counts as size 0 or as a source of its own, la
 order; sources of size 0 have target 0; an empty table gives an empty result; rows that
 repeat a doc_id are separate documents, in the order of all they are; columns named like
 those made here are replaced.
+
+Limits: targets() puts one row for each source in order in one task, which suits sources
+of a corpus, not hosts by the billion; and rows that repeat one id share a place of the
+seeded order, so a single id that is a large part of the input makes one large bucket
+(of ids and sizes, no texts).
 """
 
 from __future__ import annotations
