@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import lookup, rgb
@@ -30,6 +31,16 @@ def captions(lines: DataFrame) -> DataFrame:
     return lines.select("page_id", "line_no", *[F.substring("text", 1, n).alias(f"first_{n}") for n in (40, 55, 60)])
 
 
+def artefact_lines(listed: DataFrame) -> DataFrame:
+    """One line of text for each file: its name, and kilobytes at the right."""
+    return listed.select(F.format_string("  %-55s %6d KB", "name", "kb").alias("line"))
+
+
+def order_lines(ordered: DataFrame) -> DataFrame:
+    """The final order as text: place, segment, line in it, and the start of the text."""
+    return ordered.select("page_id", F.format_string("%4d  seg %2d  line %3d  %-40s", F.row_number().over(W.partitionBy("page_id").orderBy("seg_no", "line_in_seg")), "seg_no", "line_in_seg", F.substring("text", 1, 40)).alias("line"))
+
+
 def labels(routed: DataFrame) -> DataFrame:
     return routed.groupBy("page_id", "label").agg(F.count("*").alias("n"))
 

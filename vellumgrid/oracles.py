@@ -105,6 +105,11 @@ ORACLE_SQL: dict[str, str] = {
     "tile_autocontrast": f"WITH {TILES}, {_stretched(0)} {_hexed('c')}",
     "tile_contrast_sharpen": f"""WITH {TILES}, {_stretched(1)}, d AS (SELECT tile_id, list_transform(range(0, 64), lambda i: CASE WHEN i // 8 IN (0, 7) OR i % 8 IN (0, 7) THEN p[i + 1] ELSE greatest(0, least(255, CAST(floor((32 * p[i + 1] - 2 * ({_near}) + 8) / 16.0::DOUBLE) AS BIGINT))) END) AS p FROM c) {_hexed("d")}""",
     "tile_unsharp": f"""WITH {TILES}, {_stretched(0)}, {_blurred()}, d AS (SELECT tile_id, list_transform(range(1, 65), lambda i: CAST(trunc(greatest(0::FLOAT, least(255::FLOAT, CAST(c.p[i] AS FLOAT) - 0.35::FLOAT * CAST(s6.p[i] - c.p[i] AS FLOAT)))) AS BIGINT)) AS p FROM c JOIN s6 USING (tile_id)) {_hexed("d")}""",
+    "tile_crop": f"""WITH {TILES}, k AS (SELECT tile_id, p, least(8, greatest(0, tile_id % 11 - 2)) AS x0, tile_id % 11 % 3 AS y0, least(8, tile_id % 11 + 3) AS x1, tile_id % 11 % 3 + 4 AS y1 FROM g)
+SELECT tile_id, CAST(greatest(0, x1 - x0) AS INT) AS width, CAST(y1 - y0 AS INT) AS height, coalesce(array_to_string(list_transform(list_filter(range(0, 64), lambda i: i // 8 >= y0 AND i // 8 < y1 AND i % 8 >= x0 AND i % 8 < x1), lambda i: printf('%02X', p[i + 1])), ''), '') AS pixels FROM k""",
+    "artefact_report": "SELECT printf('  %-55s %6d KB', 'page_' || o_orderkey || '_lines.txt', CAST(trunc(o_totalprice * 100) AS BIGINT) // 1024) AS line FROM orders",
+    "order_report": f"""WITH RECURSIVE {TOLD}, t AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY seg_no, line_in_seg) AS k FROM told)
+SELECT page_id, printf('%4d  seg %2d  line %3d  ', k, seg_no, line_in_seg) || rpad(text[1:40], 40, ' ') AS line FROM t""",
     "file_totals": f"WITH {_reasons(S)} SELECT page_id % 50 AS doc, count(DISTINCT page_id) AS pages, count(*) FILTER (reason = 0) AS accepted, count(*) FILTER (reason > 0) AS filtered FROM j GROUP BY 1",
     "read_errors": f"""WITH {_reasons(D, N + ", n2 AS (SELECT * REPLACE (CASE WHEN line_no % 10 = 3 THEN '' ELSE text END AS text, CASE WHEN line_no % 10 = 3 THEN 0 ELSE confidence END AS confidence) FROM n)").replace("AS t FROM n)", "AS t FROM n2)")}
 SELECT page_id, count(*) FILTER (line_no % 10 = 3) AS failed, count(*) FILTER (reason = 1) AS empty, count(*) FILTER (reason = 0) AS accepted FROM j GROUP BY page_id""",

@@ -226,6 +226,12 @@ def story_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _told(spark, sf_dir).select("page_id", "line_no", "seg_no", "line_in_seg", "note")
 
 
+@query
+def order_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines(spark, sf_dir)
+    return reports.order_lines(columns.stories(columns.in_columns(found.select("page_id", "line_no", "text", *regions.BOX), columns.gutters(found)), also=("text",)))
+
+
 @query
 def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.segments(_told(spark, sf_dir))
@@ -328,6 +334,11 @@ def artefact_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed(found)
 
 
+@query
+def artefact_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.artefact_lines(artefact_list(spark, sf_dir))
+
+
 @query
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = budget.chosen(_attempts(spark, sf_dir), D).withColumn("success", F.col("name") % 9 != 0)
@@ -412,4 +423,11 @@ def _kernel(f):
     return run
 
 
+@query
+def tile_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of each tile, partly or wholly outside of some."""
+    at = F.col("tile_id") % 11
+    return pixels.crop(_tiles(spark, sf_dir), at - 2, at % 3, at + 3, at % 3 + 4).select("tile_id", "width", "height", F.hex("pixels").alias("pixels"))
+
+
 QUERIES |= {"tile_autocontrast": _kernel(pixels.tiled_autocontrast), "tile_contrast_sharpen": _kernel(pixels.before_reading), "tile_unsharp": _kernel(pixels.before_layout)}
