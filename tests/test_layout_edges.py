@@ -151,3 +151,53 @@ def test_inbox_takes_each_file_once(spark, tmp_path):
         (tmp_path / "in" / name).write_bytes(b"x")
         watch(spark, str(tmp_path / "in"), str(tmp_path / "at"), lambda df, n: seen.extend(r.path[-5:] for r in df.collect()), once=True).awaitTermination()
     assert seen == ["a.pdf", "b.pdf"]
+
+
+def test_the_cascade_goes_on_only_after_failures(spark):
+    span, piece = "array<struct<text:string,x0:double,y1:double,size:double,descent:double>>", "array<struct<n:int,x0:double,y0:double,x1:double,y1:double,text:string>>"
+    a, b = [("raw", 20.0, 30.0, 9.0, -2.0)], [("dict", 20.0, 30.0, 9.0, -2.0)]
+    c, d = [(5, 20.0, 0.0, 60.0, 40.0, " plain "), (4, 0.0, 0.0, 1.0, 1.0, "short")], [(5, 20.0, 0.0, 60.0, 7.0, "word"), (None, 0.0, 0.0, 1.0, 1.0, "odd")]
+    rows = [(1, a, b, c, d), (2, None, b, c, d), (3, None, None, c, d), (4, None, None, None, d), (5, [], b, c, d), (6, [(" ", 0.0, 0.0, 1.0, 0.0)], None, None, d), (7, None, None, None, None), (8, [], None, None, [])]
+    pages = spark.createDataFrame([(n, 1, 100.0, *x) for n, *x in rows] + [(9, 2, 100.0, a, b, c, d)], f"page_id int, page_num int, pix_h double, raw {span}, dicts {span}, plain {piece}, words {piece}")
+    got = {r.page_id: (r.text, r.x, r.y, r.size) for r in review.cascade(pages).collect()}
+    assert got == {1: ("raw", 10.0, 68.0, 9.0), 2: ("dict", 10.0, 68.0, 9.0), 3: ("plain", 10.0, 60.0, 40.0), 4: ("word", 10.0, 93.0, 12.0), 5: ("word", 10.0, 93.0, 12.0), 6: ("word", 10.0, 93.0, 12.0)}
+
+
+def test_wide_widths_are_the_first_ten(spark):
+    lines = spark.createDataFrame([(1, i, 0.0, 0.0, 672.0 + i / 2, 9.0) for i in range(14, -1, -1)] + [(2, 0, 5.0, 0.0, 5.0, 9.0)], f"page_id int, line_no int, {BOX}")
+    got = [(r.page_id, r.k, r.width) for r in columns.wide_widths(lines, 2400.0).orderBy("k").collect()]
+    assert got == [(1, k, w) for k, w in enumerate([672, 673, 674, 674, 674, 675, 676, 676, 676, 677], 1)]
+
+
+def test_segments_without_accepted_lines_go(spark):
+    told = spark.createDataFrame([(1, 0, 1), (1, 1, 2), (1, 2, 3), (1, 3, 3), (2, 0, 1)], "page_id int, line_no int, seg_no int")
+    accepted = spark.createDataFrame([(1, 0), (1, 2), (1, 3), (3, 0)], "page_id int, line_no int")
+    assert {tuple(r) for r in columns.with_text(told, accepted).collect()} == {(1, 1, 1, 1), (1, 3, 2, 2)}
+
+
+def test_turns_growth_and_insertions(spark):
+    held = spark.createDataFrame([(1, 0, None, "ocr"), (1, 1, 2, "ocr"), (1, 2, 1, "skip"), (1, 3, 2, "ocr")], "page_id int, region_id int, position int, route string")
+    assert {(r.region_id, r.turn) for r in regions.in_turn(held).collect()} == {(1, 1), (3, 2), (0, 3)}
+    files = spark.createDataFrame([("a", 0, 5000), ("b", 200, 150), ("c", None, 1)], "name string, orig_size long, final_bytes long")
+    assert {(r.name, r.kb, r.growth) for r in budget.grown(files).collect()} == {("a", 4, None), ("b", 0, -25.0), ("c", 0, None)}
+    layer = spark.createDataFrame([(1, True), (1, False), (1, None), (2, False)], "page_id int, ok boolean")
+    assert {tuple(r) for r in textlayer.inserted(layer).collect()} == {(1, 3, 1), (2, 1, 0)}
+
+
+def test_metadata_is_well_formed(spark):
+    from xml.etree import ElementTree
+
+    df = spark.createDataFrame([('a <b> & "c".pdf',)], "name string").withColumn("at", F.lit("2024-05-06 07:08:09").cast("timestamp_ntz"))
+    row = textlayer.metadata(df, "É", "s", "c", "p").first()
+    body = row.xmp.split("?>", 1)[1].rsplit("<?", 1)[0]
+    about = ElementTree.fromstring(body)[0][0]
+    assert about.attrib["{http://www.aiim.org/pdfa/ns/id/}part"] == "1" and about.attrib["{http://ns.adobe.com/xap/1.0/}CreateDate"] == "2024-05-06T07:08:09"
+    assert [x.text for x in about.iter("{http://www.w3.org/1999/02/22-rdf-syntax-ns#}li")] == ['a <b> & "c".pdf', "É", "s"]
+    assert row.created == "D:20240506070809"
+
+
+def test_crops_end_at_the_edges(spark):
+    tile = spark.createDataFrame([(1, 3, 2, bytearray(range(6))), (2, 3, 2, None)], "tile_id int, width int, height int, pixels binary")
+    at = lambda *x: {r.tile_id: (r.width, r.height, None if r.pixels is None else list(r.pixels)) for r in pixels.crop(tile, *map(F.lit, x)).collect()}
+    assert at(1, 0, 9, 9)[1] == (2, 2, [1, 2, 4, 5]) and at(-5, 1, 1, 2)[1] == (1, 1, [3]) and at(2, 0, 1, 2)[1] == (0, 2, [])
+    assert at(0, 0, 3, 2)[2] == (3, 2, None)
