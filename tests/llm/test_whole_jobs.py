@@ -86,3 +86,20 @@ def test_ids_with_several_texts(spark, same):
     assert {(x.doc_id, x.text) for x in left} == {(None, whole(a)), (3, near(d, 3)), (5, min(whole(a), whole(b))), (12, "one")} and len(left) == 4
     pairs = {(x.id, x.like) for x in fingerprints.near_pairs(docs).collect()}
     assert pairs == {(7, 5), (9, 5), (8, 3), (10, 8), (11, 8)}
+
+
+@pytest.mark.parametrize(("master", "fine"), [("local", True), ("local[4]", True), ("local-cluster[2,1,1024]", False), ("spark://host:7077", False), ("yarn", False)])
+def test_a_cluster_must_name_its_shared_folder(master, fine):
+    from types import SimpleNamespace
+
+    from vellumgrid.llm import common
+
+    conf = {}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d), set=conf.__setitem__), sparkContext=SimpleNamespace(master=master, setCheckpointDir=lambda x: None))
+    if fine:
+        assert common.shared_dir(session).startswith("file://")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.shared_dir(session)
+    conf["spark.checkpoint.dir"] = "hdfs://shared/x/"
+    assert common.shared_dir(session) == "hdfs://shared/x"
