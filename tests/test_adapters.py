@@ -21,14 +21,16 @@ def fake_open():
         for path, content in zip(*(batch.column(c).to_pylist() for c in ("path", "content"))):
             for i, page in enumerate(json.loads(content)):
                 rows.append({"path": path, "page_num": i + 1, "page_w": float(page["w"]), "page_h": float(page["h"]), "existing_text": page.get("text", "")})
-        return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("page_num", pa.int32()), ("page_w", pa.float64()), ("page_h", pa.float64()), ("existing_text", pa.string())]))
+        return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("page_num", pa.int32()), ("page_w", pa.float64()),
+            ("page_h", pa.float64()), ("existing_text", pa.string())]))
 
     return run
 
 
 def fake_render():
     def run(batch):
-        rows = [{"width": int(d * 8 / 72), "height": int(d * 6 / 72), "pixels": bytes([n % 256]) * 4} for n, d in zip(*(batch.column(c).to_pylist() for c in ("page_num", "dpi")))]
+        rows = [{"width": int(d * 8 / 72), "height": int(d * 6 / 72), "pixels": bytes([n % 256]) * 4} for n,
+            d in zip(*(batch.column(c).to_pylist() for c in ("page_num", "dpi")))]
         return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("width", pa.int32()), ("height", pa.int32()), ("pixels", pa.binary())]))
 
     return run
@@ -38,7 +40,8 @@ def fake_layout():
     def run(batch):
         box = lambda w, h: {"x0": 0.0, "y0": 0.0, "x1": float(w), "y1": h / 2, "label": "Text", "position": 0, "top_k": [("Title", 0.25)]}
         rows = [{"regions": [box(w, h)], "image_bbox": [0.0, 0.0, float(w), float(h)]} for w, h in zip(*(batch.column(c).to_pylist() for c in ("width", "height")))]
-        real = pa.struct([("x0", pa.float64()), ("y0", pa.float64()), ("x1", pa.float64()), ("y1", pa.float64()), ("label", pa.string()), ("position", pa.int32()), ("top_k", pa.map_(pa.string(), pa.float64()))])
+        real = pa.struct([("x0", pa.float64()), ("y0", pa.float64()), ("x1", pa.float64()), ("y1", pa.float64()), ("label", pa.string()),
+            ("position", pa.int32()), ("top_k", pa.map_(pa.string(), pa.float64()))])
         return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("regions", pa.list_(real)), ("image_bbox", pa.list_(pa.float64()))]))
 
     return run
@@ -46,7 +49,8 @@ def fake_layout():
 
 def fake_detect():
     def run(batch):
-        rows = [{"lines": [{"x0": 0.0, "y0": 10.0 * k, "x1": float(w), "y1": 10.0 * k + 8, "confidence": 1.0} for k in range(h // 200)]} for w, h in zip(*(batch.column(c).to_pylist() for c in ("width", "height")))]
+        rows = [{"lines": [{"x0": 0.0, "y0": 10.0 * k, "x1": float(w), "y1": 10.0 * k + 8, "confidence": 1.0} for k in range(h // 200)]} for w,
+            h in zip(*(batch.column(c).to_pylist() for c in ("width", "height")))]
         real = pa.struct([(c, pa.float64()) for c in ("x0", "y0", "x1", "y1", "confidence")])
         return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("lines", pa.list_(real))]))
 
@@ -79,7 +83,8 @@ def fake_read():
 
 def fake_save():
     def run(batch):
-        rows = [{"content": c + (x or "").encode(), "bytes": len(c) + len((x or "").encode()), "chars": len(x or "")} for c, x in zip(*(batch.column(k).to_pylist() for k in ("content", "layer")))]
+        rows = [{"content": c + (x or "").encode(), "bytes": len(c) + len((x or "").encode()), "chars": len(x or "")} for c,
+            x in zip(*(batch.column(k).to_pylist() for k in ("content", "layer")))]
         return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("content", pa.binary()), ("bytes", pa.int64()), ("chars", pa.int64())]))
 
     return run
@@ -87,7 +92,8 @@ def fake_save():
 
 def fake_intent():
     def run(batch):
-        return pa.RecordBatch.from_arrays([pa.array([c + b"|" + p for c, p in zip(*(batch.column(k).to_pylist() for k in ("content", "profile")))], pa.binary())], names=["content"])
+        return pa.RecordBatch.from_arrays([pa.array([c + b"|" + p for c, p in zip(*(batch.column(k).to_pylist() for k in ("content", "profile")))],
+            pa.binary())], names=["content"])
 
     return run
 
@@ -96,9 +102,11 @@ PAGES = json.dumps([{"w": 576, "h": 432}, {"w": 100, "h": 50, "text": "old"}]).e
 
 
 def test_files_become_pages_and_a_broken_one_an_error(spark):
-    files = spark.createDataFrame([("a.pdf", bytearray(PAGES)), ("b.pdf", bytearray(b"not json")), ("c.pdf", bytearray(b"[]")), (None, bytearray(PAGES))], "path string, content binary").coalesce(1)
+    files = spark.createDataFrame([("a.pdf", bytearray(PAGES)), ("b.pdf", bytearray(b"not json")), ("c.pdf", bytearray(b"[]")),
+        (None, bytearray(PAGES))], "path string, content binary").coalesce(1)
     done = adapters.through(files, adapters.OPEN, fake_open)
-    assert sorted((r.path or "", r.page_num, r.page_w, r.existing_text) for r in adapters.succeeded(done).collect()) == [("", 1, 576.0, ""), ("", 2, 100.0, "old"), ("a.pdf", 1, 576.0, ""), ("a.pdf", 2, 100.0, "old")]
+    assert sorted((r.path or "", r.page_num, r.page_w, r.existing_text) for r in adapters.succeeded(done).collect()) == [("", 1, 576.0, ""),
+        ("", 2, 100.0, "old"), ("a.pdf", 1, 576.0, ""), ("a.pdf", 2, 100.0, "old")]
     failed = adapters.failures(done, "file", "path").collect()
     assert [(r.level, r.key) for r in failed] == [("file", "b.pdf")] and failed[0].error.startswith("JSONDecodeError")
     assert adapters.through(files.limit(0), adapters.OPEN, fake_open).count() == 0
@@ -110,16 +118,19 @@ def test_pages_through_every_model(spark):
     assert {(r.page_num, r.width, r.height, bytes(r.pixels)) for r in raster.collect()} == {(1, 33, 25, b"\1" * 4), (2, 22, 16, b"\2" * 4)}
     large = raster.withColumn("height", F.lit(600))
     found = adapters.succeeded(adapters.through(large, adapters.LAYOUT, fake_layout)).collect()
-    assert {(r.page_id, r.regions[0].label, r.regions[0].top_k["Title"], tuple(r.image_bbox)) for r in found} == {("a.pdf/1", "Text", 0.25, (0.0, 0.0, 33.0, 600.0)), ("a.pdf/2", "Text", 0.25, (0.0, 0.0, 22.0, 600.0))}
+    assert {(r.page_id, r.regions[0].label, r.regions[0].top_k["Title"], tuple(r.image_bbox)) for r in found} == {("a.pdf/1", "Text", 0.25,
+        (0.0, 0.0, 33.0, 600.0)), ("a.pdf/2", "Text", 0.25, (0.0, 0.0, 22.0, 600.0))}
     lines = adapters.succeeded(adapters.through(large, adapters.DETECT, fake_detect)).select("page_id", F.posexplode("lines").alias("line_no", "line"))
     assert lines.count() == 6 and lines.where("line.confidence = 1.0").count() == 6
     reads = raster.withColumns({"region_id": F.lit(0), "pass": F.lit(2)})
-    got = adapters.succeeded(adapters.through(reads, adapters.READ, fake_read)).select("page_id", F.explode("reads").alias("r")).select("page_id", "r.text", "r.x0").collect()
+    got = adapters.succeeded(adapters.through(reads, adapters.READ, fake_read)).select("page_id", F.explode("reads").alias("r")).select("page_id",
+        "r.text", "r.x0").collect()
     assert len(got) == 8 and all(r.x0 is None and r.text.startswith("pass 2") for r in got)
 
 
 def test_a_line_that_fails_is_an_empty_text(spark):
-    lines = spark.createDataFrame([(1, 0, bytearray(b"ok")), (1, 1, bytearray(b"bad")), (1, 2, None), (1, 3, bytearray(b"bad"))], "page_id long, line_no int, pixels binary").coalesce(1)
+    lines = spark.createDataFrame([(1, 0, bytearray(b"ok")), (1, 1, bytearray(b"bad")), (1, 2, None), (1, 3, bytearray(b"bad"))],
+        "page_id long, line_no int, pixels binary").coalesce(1)
     done = adapters.through(lines, adapters.RECOGNISE, fake_recognise)
     assert {r.key for r in adapters.failures(done, "line", "page_id", "line_no").collect()} == {"1/1", "1/3"}
     judged = done.withColumns(failed_reads()).withColumn("reason", noise_reason(F.col("text"), F.col("confidence"), F.lit(20), F.lit(100), D))
@@ -127,7 +138,8 @@ def test_a_line_that_fails_is_an_empty_text(spark):
 
 
 def test_files_are_written_and_marked(spark):
-    files = spark.createDataFrame([("a", bytearray(b"%PDF"), "text", bytearray(b"icc")), ("b", bytearray(b"%PDF"), None, None)], "name string, content binary, layer string, profile binary").coalesce(1)
+    files = spark.createDataFrame([("a", bytearray(b"%PDF"), "text", bytearray(b"icc")), ("b", bytearray(b"%PDF"), None, None)],
+        "name string, content binary, layer string, profile binary").coalesce(1)
     saved = adapters.succeeded(adapters.through(files, adapters.SAVE, fake_save))
     assert {(r.name, bytes(r.content), r.bytes, r.chars) for r in saved.collect()} == {("a", b"%PDFtext", 8, 4), ("b", b"%PDF", 4, 0)}
     done = adapters.through(saved.join(files.select("name", "profile"), "name"), adapters.INTENT, fake_intent)

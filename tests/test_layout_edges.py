@@ -12,9 +12,13 @@ from vellumgrid.sources.tables import files, required
 
 BOX = "x0 double, y0 double, x1 double, y1 double"
 ROWS = [
-    ("", 0.9, 20, 100, 1), (None, 0.9, 20, 100, 1), ("ab", 0.9, 7, 100, 2), ("ab", 0.9, 20, 14, 2), ("ab", 0.9, 8, 15, 0), ("ab", 0.9, 160, 15, 3), ("ab", 0.9, 8, 801, 3), ("ab", 0.9, 8, 800, 0),
-    ("x", 0.49, 20, 100, 4), ("x", 0.5, 20, 100, 0), (" x ", 0.1, 20, 100, 4), ("ab", 0.24, 20, 100, 5), ("ab", 0.25, 20, 100, 0), ("aaa", 0.99, 20, 100, 6), ("aa", 0.99, 20, 100, 0),
-    ("oOl|", 0.49, 20, 100, 7), ("12.5", 0.49, 20, 100, 7), ("—§", 0.49, 20, 100, 7), ("— §", 0.49, 20, 100, 0), ("12.5", 0.5, 20, 100, 8), ("bcdf", 0.69, 20, 100, 8), ("bcdf", 0.7, 20, 100, 0), ("bcd", 0.6, 20, 100, 0), ("é", 0.4, 20, 100, 4), ("bédf", 0.6, 20, 100, 8), ("  ", 0.2, 20, 100, 5), ("  ", 0.9, 20, 100, 0), ("ab", None, 20, 100, 5),
+    ("", 0.9, 20, 100, 1), (None, 0.9, 20, 100, 1), ("ab", 0.9, 7, 100, 2), ("ab", 0.9, 20, 14, 2), ("ab", 0.9, 8, 15, 0), ("ab", 0.9, 160, 15, 3),
+        ("ab", 0.9, 8, 801, 3), ("ab", 0.9, 8, 800, 0),
+    ("x", 0.49, 20, 100, 4), ("x", 0.5, 20, 100, 0), (" x ", 0.1, 20, 100, 4), ("ab", 0.24, 20, 100, 5), ("ab", 0.25, 20, 100, 0),
+        ("aaa", 0.99, 20, 100, 6), ("aa", 0.99, 20, 100, 0),
+    ("oOl|", 0.49, 20, 100, 7), ("12.5", 0.49, 20, 100, 7), ("—§", 0.49, 20, 100, 7), ("— §", 0.49, 20, 100, 0), ("12.5", 0.5, 20, 100, 8),
+        ("bcdf", 0.69, 20, 100, 8), ("bcdf", 0.7, 20, 100, 0), ("bcd", 0.6, 20, 100, 0), ("é", 0.4, 20, 100, 4), ("bédf", 0.6, 20, 100, 8),
+        ("  ", 0.2, 20, 100, 5), ("  ", 0.9, 20, 100, 0), ("ab", None, 20, 100, 5),
 ]
 
 
@@ -39,7 +43,8 @@ def test_suppression_is_greedy(spark):
 
 def test_overlap_must_exceed_the_bound(spark):
     held = spark.createDataFrame([(1, 0, 0.0, 0.0, 100.0, 50.0), (1, 1, 500.0, 0.0, 600.0, 50.0)], f"page_id int, region_id int, {BOX}")
-    lines = spark.createDataFrame([(1, 0, 95.0, 0.0, 195.0, 9.0), (1, 1, 94.0, 5.0, 194.0, 9.0), (1, 2, 900.0, 0.0, 910.0, 9.0), (7, 0, 40.0, 0.0, 50.0, 9.0), (7, 1, 10.0, 14.0, 20.0, 29.0), (7, 2, 0.0, 15.0, 20.0, 29.0)], f"page_id int, line_no int, {BOX}")
+    lines = spark.createDataFrame([(1, 0, 95.0, 0.0, 195.0, 9.0), (1, 1, 94.0, 5.0, 194.0, 9.0), (1, 2, 900.0, 0.0, 910.0, 9.0),
+        (7, 0, 40.0, 0.0, 50.0, 9.0), (7, 1, 10.0, 14.0, 20.0, 29.0), (7, 2, 0.0, 15.0, 20.0, 29.0)], f"page_id int, line_no int, {BOX}")
     got = {(r.page_id, r.line_no): (r.region_id, r.bucket_no, r.order_no) for r in order.ordered(order.assigned(lines, held)).collect()}
     assert got == {(1, 1): (0, 0, 1), (1, 0): (None, 2, 2), (1, 2): (None, 2, 3), (7, 1): (None, None, 1), (7, 0): (None, None, 2), (7, 2): (None, None, 3)}
 
@@ -50,7 +55,8 @@ def test_merging_is_running(spark, gutters, want):
     assert df.select(columns.merged(F.col("g"))).first()[0] == want
 
 
-@pytest.mark.parametrize(("gutters", "want"), [([300.0, 1200.0], [1200.0]), ([1200.0, 2200.0], [1200.0]), ([360.0], [360.0]), ([100.0], []), ([], []), ([800.0, 900.0, 1000.0], [800.0])])
+@pytest.mark.parametrize(("gutters", "want"), [([300.0, 1200.0], [1200.0]), ([1200.0, 2200.0], [1200.0]), ([360.0], [360.0]), ([100.0], []), ([], []),
+    ([800.0, 900.0, 1000.0], [800.0])])
 def test_narrow_columns_lose_a_gutter(spark, gutters, want):
     df = spark.createDataFrame([(gutters,)], "g array<double>")
     assert df.select(columns.wide_columns(F.col("g"))).first()[0] == want
@@ -66,15 +72,18 @@ def test_story_breaks(spark):
 
 
 def test_lines_are_cut_at_gutters(spark):
-    rows = [(1, 0, 100.0, 500.0, 900.0, 520.0), (1, 1, 700.0, 500.0, 1000.0, 520.0), (1, 2, 0.0, 80.0, 10.0, 100.0), (1, 3, 0.0, 81.0, 10.0, 100.0), (1, 4, 0.0, 200.0, 1560.0, 230.0), (1, 5, 0.0, 200.0, 1561.0, 230.0)]
+    rows = [(1, 0, 100.0, 500.0, 900.0, 520.0), (1, 1, 700.0, 500.0, 1000.0, 520.0), (1, 2, 0.0, 80.0, 10.0, 100.0), (1, 3, 0.0, 81.0, 10.0, 100.0),
+        (1, 4, 0.0, 200.0, 1560.0, 230.0), (1, 5, 0.0, 200.0, 1561.0, 230.0)]
     lines = spark.createDataFrame(rows, f"page_id int, line_no int, {BOX}")
     gutters = spark.createDataFrame([(1, [800.0])], "page_id int, gutters array<double>")
     got = {r.line_no: (r.is_header, r.col, r.x0, r.x1) for r in columns.in_columns(lines, gutters).collect()}
-    assert got == {0: (False, 1, 100.0, 798.0), 1: (False, 2, 802.0, 1000.0), 2: (True, 0, 0.0, 10.0), 3: (False, 1, 0.0, 10.0), 4: (False, 1, 0.0, 798.0), 5: (True, 0, 0.0, 1561.0)}
+    assert got == {0: (False, 1, 100.0, 798.0), 1: (False, 2, 802.0, 1000.0), 2: (True, 0, 0.0, 10.0), 3: (False, 1, 0.0, 10.0),
+        4: (False, 1, 0.0, 798.0), 5: (True, 0, 0.0, 1561.0)}
 
 
 def test_pass_two_needs_as_many_lines(spark):
-    rows = [(1, 0, "Text", 1, "a"), (1, 0, "Text", 2, "b"), (1, 1, "Caption", 1, "a"), (1, 1, "Caption", 2, "b"), (1, 2, "Caption", 1, "a"), (1, 2, "Caption", 1, "b"), (1, 2, "Caption", 2, "c"), (1, 3, "Text", 1, " "), (1, 3, "Text", 2, "b"), (1, 4, "Text", 1, " ")]
+    rows = [(1, 0, "Text", 1, "a"), (1, 0, "Text", 2, "b"), (1, 1, "Caption", 1, "a"), (1, 1, "Caption", 2, "b"), (1, 2, "Caption", 1, "a"),
+        (1, 2, "Caption", 1, "b"), (1, 2, "Caption", 2, "c"), (1, 3, "Text", 1, " "), (1, 3, "Text", 2, "b"), (1, 4, "Text", 1, " ")]
     df = spark.createDataFrame(rows, "page_id int, region_id int, label string, pass int, text string")
     assert {r.region_id: r.winner for r in recognise.winners(df).collect()} == {0: 1, 1: 2, 2: 1, 3: 2, 4: 0}
 
@@ -106,7 +115,8 @@ def test_redaction_waits_for_text_in_some_rule_sets(spark):
 
 def test_review_uses_words_only_without_spans(spark):
     span = "struct<text:string,chars:array<string>,x0:double,y0:double,x1:double,y1:double,size:double,descent:double>"
-    df = spark.createDataFrame([(1, 1, 100.0, [], [(10.0, 5.0, 20.0, 40.0, "w")]), (2, 2, 100.0, [], [])], f"page_id int, page_num int, pix_h double, blocks array<struct<lines:array<struct<spans:array<{span}>>>>>, words array<struct<x0:double,y0:double,x1:double,y1:double,text:string>>")
+    df = spark.createDataFrame([(1, 1, 100.0, [], [(10.0, 5.0, 20.0, 40.0, "w")]), (2, 2, 100.0, [], [])],
+        f"page_id int, page_num int, pix_h double, blocks array<struct<lines:array<struct<spans:array<{span}>>>>>, words array<struct<x0:double,y0:double,x1:double,y1:double,text:string>>")
     assert [tuple(r) for r in review.spans(df).collect()] == [(1, 0, "w", 0.0, 60.0, 35.0)]
 
 
@@ -157,10 +167,13 @@ def test_the_cascade_goes_on_only_after_failures(spark):
     span, piece = "array<struct<text:string,x0:double,y1:double,size:double,descent:double>>", "array<struct<n:int,x0:double,y0:double,x1:double,y1:double,text:string>>"
     a, b = [("raw", 20.0, 30.0, 9.0, -2.0)], [("dict", 20.0, 30.0, 9.0, -2.0)]
     c, d = [(5, 20.0, 0.0, 60.0, 40.0, " plain "), (4, 0.0, 0.0, 1.0, 1.0, "short")], [(5, 20.0, 0.0, 60.0, 7.0, "word"), (None, 0.0, 0.0, 1.0, 1.0, "odd")]
-    rows = [(1, a, b, c, d), (2, None, b, c, d), (3, None, None, c, d), (4, None, None, None, d), (5, [], b, c, d), (6, [(" ", 0.0, 0.0, 1.0, 0.0)], None, None, d), (7, None, None, None, None), (8, [], None, None, [])]
-    pages = spark.createDataFrame([(n, 1, 100.0, *x) for n, *x in rows] + [(9, 2, 100.0, a, b, c, d)], f"page_id int, page_num int, pix_h double, raw {span}, dicts {span}, plain {piece}, words {piece}")
+    rows = [(1, a, b, c, d), (2, None, b, c, d), (3, None, None, c, d), (4, None, None, None, d), (5, [], b, c, d),
+        (6, [(" ", 0.0, 0.0, 1.0, 0.0)], None, None, d), (7, None, None, None, None), (8, [], None, None, [])]
+    pages = spark.createDataFrame([(n, 1, 100.0, *x) for n, *x in rows] + [(9, 2, 100.0, a, b, c, d)],
+        f"page_id int, page_num int, pix_h double, raw {span}, dicts {span}, plain {piece}, words {piece}")
     got = {r.page_id: (r.text, r.x, r.y, r.size) for r in review.cascade(pages).collect()}
-    assert got == {1: ("raw", 10.0, 68.0, 9.0), 2: ("dict", 10.0, 68.0, 9.0), 3: ("plain", 10.0, 60.0, 40.0), 4: ("word", 10.0, 93.0, 12.0), 5: ("word", 10.0, 93.0, 12.0), 6: ("word", 10.0, 93.0, 12.0)}
+    assert got == {1: ("raw", 10.0, 68.0, 9.0), 2: ("dict", 10.0, 68.0, 9.0), 3: ("plain", 10.0, 60.0, 40.0), 4: ("word", 10.0, 93.0, 12.0),
+        5: ("word", 10.0, 93.0, 12.0), 6: ("word", 10.0, 93.0, 12.0)}
 
 
 def test_wide_widths_are_the_first_ten(spark):

@@ -36,7 +36,8 @@ class Contract:
 
 OPEN = Contract("open", ("path", "content"), ("path",), "page_num int, page_w double, page_h double, existing_text string", many=True)
 RENDER = Contract("render", ("path", "page_num", "content", "dpi"), ("path", "page_num"), "width int, height int, pixels binary")
-LAYOUT = Contract("layout", ("page_id", "width", "height", "pixels"), ("page_id",), f"regions array<struct<{BOX}, label:string, position:int, top_k:map<string,double>>>, image_bbox array<double>")
+LAYOUT = Contract("layout", ("page_id", "width", "height", "pixels"), ("page_id",),
+    f"regions array<struct<{BOX}, label:string, position:int, top_k:map<string,double>>>, image_bbox array<double>")
 DETECT = Contract("detect", ("page_id", "width", "height", "pixels"), ("page_id",), f"lines array<struct<{BOX}, confidence:double>>")
 RECOGNISE = Contract("recognise", ("page_id", "line_no", "pixels"), ("page_id", "line_no"), "text string, confidence double")
 READ = Contract("read", ("page_id", "region_id", "pixels", "pass"), ("page_id", "region_id", "pass"), f"reads array<struct<{BOX}, text:string, confidence:double>>")

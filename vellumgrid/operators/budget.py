@@ -22,13 +22,15 @@ def chosen(attempts: DataFrame, rules: Variant, budget: float = BUDGET) -> DataF
     first = F.min(F.when(stops, F.struct("option", good.alias("good"), "size")))
     files = attempts.withColumn("budget", most).groupBy("name").agg(F.first("budget").alias("budget"), F.first("plain_size").alias("plain"), first.alias("hit"))
     taken = (F.col("plain") > F.col("budget")) & F.coalesce(F.col("hit.good"), F.lit(False))
-    return files.select("name", "budget", F.when(taken, F.col("hit.option")).otherwise(0).alias("option"), F.when(taken, F.col("hit.size")).otherwise(F.col("plain")).alias("final_bytes"))
+    return files.select("name", "budget", F.when(taken, F.col("hit.option")).otherwise(0).alias("option"),
+        F.when(taken, F.col("hit.size")).otherwise(F.col("plain")).alias("final_bytes"))
 
 
 def summary(files: DataFrame) -> DataFrame:
     """Files and bytes by status, from (name, success, final_bytes); failed files count no bytes."""
     status = F.when(F.col("success"), "OK").otherwise("FAILED")
-    return files.groupBy(status.alias("status")).agg(F.count("*").alias("files"), F.sum(F.when(F.col("success"), F.col("final_bytes")).otherwise(0)).cast("long").alias("bytes"))
+    return files.groupBy(status.alias("status")).agg(F.count("*").alias("files"),
+        F.sum(F.when(F.col("success"), F.col("final_bytes")).otherwise(0)).cast("long").alias("bytes"))
 
 
 def grown(files: DataFrame) -> DataFrame:

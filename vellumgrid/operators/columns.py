@@ -50,7 +50,8 @@ def gaps(hist: DataFrame, page: Page = PAGE, rules: Columns = RULES) -> DataFram
 def merged(gutters: Column, rules: Columns = RULES) -> Column:
     """Sorted gutters; one closer than ``merge`` to the last becomes the mean with it."""
     near = lambda acc, g: (F.size(acc) > 0) & (g - F.try_element_at(acc, F.lit(-1)) < rules.merge)
-    step = lambda acc, g: F.when(near(acc, g), F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array((F.try_element_at(acc, F.lit(-1)) + g) / 2))).otherwise(F.concat(acc, F.array(g)))
+    step = lambda acc, g: F.when(near(acc, g), F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
+        F.array((F.try_element_at(acc, F.lit(-1)) + g) / 2))).otherwise(F.concat(acc, F.array(g)))
     return F.aggregate(F.sort_array(gutters), F.array().cast(DOUBLES), step)
 
 
@@ -78,7 +79,8 @@ def gutters(lines: DataFrame, page: Page = PAGE, rules: Columns = RULES) -> Data
     found = gaps(histogram(lines, page, rules), page, rules).select("page_id", F.col("gaps").alias("raw"), merged(F.col("gaps"), rules).alias("merged"))
     kept = found.withColumn("inner", inside_margins(F.col("merged"), page, rules))
     rounded = lambda c: F.transform(c, lambda g: F.bround(g).cast("int"))
-    return kept.select("page_id", "raw", "merged", F.sort_array(F.array_except(rounded("merged"), rounded("inner"))).alias("removed"), wide_columns(F.col("inner"), page, rules).alias("gutters"))
+    return kept.select("page_id", "raw", "merged", F.sort_array(F.array_except(rounded("merged"), rounded("inner"))).alias("removed"),
+        wide_columns(F.col("inner"), page, rules).alias("gutters"))
 
 
 def in_columns(lines: DataFrame, page_gutters: DataFrame, page: Page = PAGE, rules: Columns = RULES) -> DataFrame:
@@ -103,17 +105,20 @@ def stories(placed: DataFrame, rules: Columns = RULES, also: tuple[str, ...] = (
     """
     row = F.struct("y0", "line_no", "y1", "x0", "x1", *also)
     grouped = placed.groupBy("page_id", "is_header", "col").agg(F.array_sort(F.collect_list(row)).alias("all"))
-    start = F.struct(F.lit(0).alias("sub"), F.lit(None).cast("double").alias("top"), F.lit(None).cast("double").alias("bottom"), F.array().cast("array<int>").alias("subs"))
+    start = F.struct(F.lit(0).alias("sub"), F.lit(None).cast("double").alias("top"), F.lit(None).cast("double").alias("bottom"),
+        F.array().cast("array<int>").alias("subs"))
 
     def step(s: Column, r: Column) -> Column:
         gap, span = r["y0"] - s["bottom"], s["bottom"] - s["top"]
         new = F.coalesce((gap >= rules.photo_gap) | ((gap >= rules.story_gap) & (span > rules.story_span)), F.lit(False)) & ~F.col("is_header")
         sub = s["sub"] + new.cast("int")
-        return F.struct(sub.alias("sub"), F.when(new | s["top"].isNull(), r["y0"]).otherwise(s["top"]).alias("top"), r["y1"].alias("bottom"), F.concat(s["subs"], F.array(sub)).alias("subs"))
+        return F.struct(sub.alias("sub"), F.when(new | s["top"].isNull(), r["y0"]).otherwise(s["top"]).alias("top"), r["y1"].alias("bottom"),
+            F.concat(s["subs"], F.array(sub)).alias("subs"))
 
     split = grouped.withColumn("__subs", F.aggregate("all", start, step)["subs"]).withColumn("__n", F.array_max("__subs") + 1)
     flat = split.select("page_id", "is_header", "col", "__n", F.explode(F.arrays_zip(F.col("all").alias("r"), F.col("__subs").alias("sub"))).alias("z"))
-    note = F.when(F.col("is_header"), "HEADER").otherwise(F.concat(F.lit("Col "), F.col("col").cast("string"), F.when(F.col("__n") > 1, F.chr(F.lit(97) + F.col("sub"))).otherwise("")))
+    note = F.when(F.col("is_header"), "HEADER").otherwise(F.concat(F.lit("Col "), F.col("col").cast("string"),
+        F.when(F.col("__n") > 1, F.chr(F.lit(97) + F.col("sub"))).otherwise("")))
     seg = F.dense_rank().over(W.partitionBy("page_id").orderBy("col", "sub"))
     lined = flat.select("page_id", "is_header", "col", "__n", "z.sub", "z.r.*").withColumn("seg_no", seg).withColumn("note", note)
     return lined.withColumn("line_in_seg", F.row_number().over(W.partitionBy("page_id", "seg_no").orderBy("y0", "line_no"))).drop("__n")
@@ -134,4 +139,5 @@ def with_text(told: DataFrame, accepted: DataFrame) -> DataFrame:
 
 def segments(told: DataFrame) -> DataFrame:
     """Envelope and line count of each segment."""
-    return told.groupBy("page_id", "seg_no").agg(F.first("note").alias("note"), F.count("*").alias("n_lines"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    return told.groupBy("page_id", "seg_no").agg(F.first("note").alias("note"), F.count("*").alias("n_lines"), F.min("x0").alias("x0"),
+        F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))

@@ -110,7 +110,8 @@ def kernel(tiles: DataFrame, f: Callable[[np.ndarray], np.ndarray], key: str = "
 def crop(tiles: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column, key: str = "tile_id") -> DataFrame:
     """(key, width, height, pixels) of the parts of gray tiles inside boxes, which are first cut at the tiles' edges; an empty part has no pixels."""
     within = lambda x, most: F.least(F.greatest(x, F.lit(0)), F.col(most)).cast("int")
-    cut = tiles.select(key, F.col("width").alias("w"), "pixels", within(x0, "width").alias("x0"), within(y0, "height").alias("y0"), within(x1, "width").alias("x1"), within(y1, "height").alias("y1"))
+    cut = tiles.select(key, F.col("width").alias("w"), "pixels", within(x0, "width").alias("x0"), within(y0, "height").alias("y0"),
+        within(x1, "width").alias("x1"), within(y1, "height").alias("y1"))
     wide, high = F.greatest(F.lit(0), F.col("x1") - F.col("x0")), F.greatest(F.lit(0), F.col("y1") - F.col("y0"))
     rows = F.when((wide > 0) & (high > 0), F.sequence(F.col("y0"), F.col("y1") - 1)).otherwise(F.array().cast("array<int>"))
     part = F.aggregate(rows, F.lit(b""), lambda acc, y: F.concat(acc, F.substring("pixels", y * F.col("w") + F.col("x0") + 1, wide)))

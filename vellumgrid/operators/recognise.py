@@ -57,7 +57,8 @@ def winners(reads: DataFrame) -> DataFrame:
 
 def elements(lines: DataFrame, regions: DataFrame, rules: Variant) -> DataFrame:
     """Lines with boxes relative to their region (by region_id) as elements in page pixels; a line without a box has its region's."""
-    of = regions.select("page_id", "region_id", F.col("label").alias("source_label"), F.col("position").alias("reading_position"), *[F.col(c).alias(f"r_{c}") for c in ("x0", "y0", "x1", "y1")])
+    of = regions.select("page_id", "region_id", F.col("label").alias("source_label"), F.col("position").alias("reading_position"),
+        *[F.col(c).alias(f"r_{c}") for c in ("x0", "y0", "x1", "y1")])
     joined = lines.join(of, ["page_id", "region_id"])
     moved = {c: F.coalesce(F.col(c) + F.col("r_x0" if c[0] == "x" else "r_y0"), F.col(f"r_{c}")) for c in ("x0", "y0", "x1", "y1")}
     placed = joined.withColumns(moved).where(F.length(strip(F.col("text"))) > 0)

@@ -28,7 +28,8 @@ def route(label: Column) -> Column:
 
 def alternatives(entries: Column, rules: Variant) -> Column:
     """(label, confidence) entries under canonical names, the last of a name, most likely first."""
-    named = F.transform(entries, lambda e, i: F.struct((-e["confidence"]).alias("less"), normalise(e["label"], rules).alias("label"), e["confidence"].alias("confidence"), i.alias("i")))
+    named = F.transform(entries, lambda e, i: F.struct((-e["confidence"]).alias("less"), normalise(e["label"], rules).alias("label"),
+        e["confidence"].alias("confidence"), i.alias("i")))
     last = F.filter(named, lambda e: ~F.exists(named, lambda o: (o["label"] == e["label"]) & (o["i"] > e["i"])))
     return F.transform(F.array_sort(last), lambda e: F.struct(e["label"].alias("label"), e["confidence"].alias("confidence")))
 
@@ -74,7 +75,8 @@ def suppressed(regions: DataFrame, threshold: float, key: str = "page_id", id: s
 def overlaps(regions: DataFrame, key: str = "page_id", id: str = "region_id") -> DataFrame:
     """(key, a, b, iou) of regions that overlap on a page."""
     boxes = regions.select(key, F.col(id).alias("id"), F.struct(*BOX).alias("box"))
-    pairs = boxes.select(key, F.col("id").alias("a"), F.col("box").alias("p")).join(boxes.select(key, F.col("id").alias("b"), F.col("box").alias("q")), key).where("a < b")
+    pairs = boxes.select(key, F.col("id").alias("a"), F.col("box").alias("p")).join(boxes.select(key, F.col("id").alias("b"),
+        F.col("box").alias("q")), key).where("a < b")
     return pairs.select(key, "a", "b", iou(F.col("p"), F.col("q")).alias("iou")).where("iou > 0")
 
 
@@ -87,6 +89,7 @@ def in_turn(routed: DataFrame) -> DataFrame:
 def with_fallback(pages: DataFrame, regions: DataFrame, page: Page = Page(), key: str = "page_id") -> DataFrame:
     """All regions, and for pages without any one that covers the page."""
     whole = pages.join(regions.select(key).distinct(), key, "left_anti").select(
-        key, F.lit(0).alias("region_id"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(page.width).alias("x1"), F.lit(page.height).alias("y1"), F.lit("Text").alias("label"), F.lit(0).alias("position")
+        key, F.lit(0).alias("region_id"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(page.width).alias("x1"),
+            F.lit(page.height).alias("y1"), F.lit("Text").alias("label"), F.lit(0).alias("position")
     )
     return regions.select(*whole.columns).unionByName(whole)

@@ -23,7 +23,8 @@ def accepted(judged: DataFrame) -> DataFrame:
 
 def totals(judged: DataFrame, key: str) -> DataFrame:
     """Pages with lines, and lines kept and dropped, of a file."""
-    return judged.groupBy(key).agg(F.countDistinct("page_id").alias("pages"), F.count_if(F.col("reason") == 0).alias("accepted"), F.count_if(F.col("reason") > 0).alias("filtered"))
+    return judged.groupBy(key).agg(F.countDistinct("page_id").alias("pages"), F.count_if(F.col("reason") == 0).alias("accepted"),
+        F.count_if(F.col("reason") > 0).alias("filtered"))
 
 
 def captions(lines: DataFrame) -> DataFrame:
@@ -38,7 +39,9 @@ def artefact_lines(listed: DataFrame) -> DataFrame:
 
 def order_lines(ordered: DataFrame) -> DataFrame:
     """The final order as text: place, segment, line in it, and the start of the text."""
-    return ordered.select("page_id", F.format_string("%4d  seg %2d  line %3d  %-40s", F.row_number().over(W.partitionBy("page_id").orderBy("seg_no", "line_in_seg")), "seg_no", "line_in_seg", F.substring("text", 1, 40)).alias("line"))
+    return ordered.select("page_id", F.format_string("%4d  seg %2d  line %3d  %-40s",
+        F.row_number().over(W.partitionBy("page_id").orderBy("seg_no", "line_in_seg")), "seg_no", "line_in_seg",
+        F.substring("text", 1, 40)).alias("line"))
 
 
 def labels(routed: DataFrame) -> DataFrame:
@@ -59,7 +62,8 @@ def drawn_regions(regions: DataFrame) -> DataFrame:
     """Rectangles of labelled regions, in order of position (999 where missing)."""
     colour = lookup(LABEL_COLOURS, F.col("label"), F.lit(DEFAULT_COLOUR))
     at = rgb(colour)
-    return regions.select("page_id", F.coalesce("position", F.lit(999)).alias("z"), "region_id", "x0", "y0", "x1", "y1", *[at[i].alias(c) for i, c in enumerate("rgb")], F.concat_ws(" ", F.col("position").cast("string"), "label").alias("caption"))
+    return regions.select("page_id", F.coalesce("position", F.lit(999)).alias("z"), "region_id", "x0", "y0", "x1", "y1",
+        *[at[i].alias(c) for i, c in enumerate("rgb")], F.concat_ws(" ", F.col("position").cast("string"), "label").alias("caption"))
 
 
 def drawn_lines(told: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ def text_layer(elements: DataFrame, pages: DataFrame, rules: Variant, page: Page
     sx, sy = F.col("page_w") / page.width, F.col("page_h") / page.height
     size = F.greatest(F.lit(4.0), font_size(F.col("y1") - F.col("y0"), rules.font) * sy)
     joined = elements.join(pages.select("page_id", "page_w", "page_h"), "page_id")
-    return joined.select("page_id", "elem_no", "text", (F.col("x0") * sx).alias("x_pt"), (F.col("y1") * sy).alias("y_pt"), size.alias("font_pt"), F.lit(3).alias("render_mode"))
+    return joined.select("page_id", "elem_no", "text", (F.col("x0") * sx).alias("x_pt"), (F.col("y1") * sy).alias("y_pt"), size.alias("font_pt"),
+        F.lit(3).alias("render_mode"))
 
 
 def redactions(pages: DataFrame, elements: DataFrame, **rules: Variant) -> DataFrame:
@@ -52,4 +53,5 @@ def metadata(files: DataFrame, author: str, subject: str, creator: str, producer
 def names(files: DataFrame) -> DataFrame:
     """The names that go with a file's stem through the run."""
     stem = F.regexp_replace("name", r"\.[^.]*$", "")
-    return files.select("*", stem.alias("stem"), *[F.concat(stem, F.lit(end)).alias(alias) for alias, end in (("temp", "_ocr_temp.pdf"), ("final", "_final.pdf"), ("review", "_review.jpg"))])
+    return files.select("*", stem.alias("stem"), *[F.concat(stem, F.lit(end)).alias(alias) for alias,
+        end in (("temp", "_ocr_temp.pdf"), ("final", "_final.pdf"), ("review", "_review.jpg"))])

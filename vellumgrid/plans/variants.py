@@ -5,16 +5,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # Names and numbers that results depend on.
-OCR_LABELS = ("Text", "Section-header", "Caption", "Footnote", "List-item", "Page-footer", "Page-header", "Table-of-contents", "Handwriting", "Text-inline-math", "Formula")
+OCR_LABELS = ("Text", "Section-header", "Caption", "Footnote", "List-item", "Page-footer", "Page-header", "Table-of-contents", "Handwriting",
+    "Text-inline-math", "Formula")
 SKIP_LABELS = ("Picture", "Figure", "Table", "Form")
 SINGLE_BLOCK_LABELS = ("Section-header", "Page-header", "Caption", "Footnote")
 ALIASES_BC = {
-    "SectionHeader": "Section-header", "PageHeader": "Page-header", "PageFooter": "Page-footer", "ListItem": "List-item", "TableOfContents": "Table-of-contents", "InlineMath": "Text-inline-math",
-    "TextInlineMath": "Text-inline-math", "Header": "Page-header", "Footer": "Page-footer", "Heading": "Section-header", "Title": "Section-header", "Handwritten": "Handwriting",
+    "SectionHeader": "Section-header", "PageHeader": "Page-header", "PageFooter": "Page-footer", "ListItem": "List-item",
+        "TableOfContents": "Table-of-contents", "InlineMath": "Text-inline-math",
+    "TextInlineMath": "Text-inline-math", "Header": "Page-header", "Footer": "Page-footer", "Heading": "Section-header", "Title": "Section-header",
+        "Handwritten": "Handwriting",
 }
 ALIASES_D = ALIASES_BC | {
-    "section_header": "Section-header", "page_header": "Page-header", "page_footer": "Page-footer", "list_item": "List-item", "table_of_contents": "Table-of-contents", "inline_math": "Text-inline-math",
-    "text_inline_math": "Text-inline-math", "handwriting": "Handwriting", "figure_caption": "Caption", "FigureCaption": "Caption", "table_caption": "Caption", "TableCaption": "Caption",
+    "section_header": "Section-header", "page_header": "Page-header", "page_footer": "Page-footer", "list_item": "List-item",
+        "table_of_contents": "Table-of-contents", "inline_math": "Text-inline-math",
+    "text_inline_math": "Text-inline-math", "handwriting": "Handwriting", "figure_caption": "Caption", "FigureCaption": "Caption",
+        "table_caption": "Caption", "TableCaption": "Caption",
     "paragraph": "Text", "Paragraph": "Text", "body": "Text", "Body": "Text",
 }
 SEGMENT_COLOURS = ("#E63946", "#2196F3", "#4CAF50", "#FF9800", "#9C27B0", "#00BCD4", "#FF5722", "#8BC34A", "#3F51B5", "#F06292")

@@ -30,7 +30,8 @@ def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of 8 by 6 inches, every third with a text layer of its own."""
     old = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise("")
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.lit(576.0).alias("page_w"), F.lit(432.0).alias("page_h"), old.alias("existing_text"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.lit(576.0).alias("page_w"), F.lit(432.0).alias("page_h"),
+        old.alias("existing_text"))
 
 
 @query
@@ -45,7 +46,8 @@ def row_bucket_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def min_size_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lines(spark, sf_dir).withColumn("y1", F.col("y0") + F.col("line_no") % 12).withColumn("x1", F.when(F.col("line_no") % 5 == 0, F.col("x0") + 14).otherwise(F.col("x1")))
+    cut = lines(spark, sf_dir).withColumn("y1", F.col("y0") + F.col("line_no") % 12).withColumn("x1",
+        F.when(F.col("line_no") % 5 == 0, F.col("x0") + 14).otherwise(F.col("x1")))
     return recognise.large_enough(cut, D).select("page_id", "line_no")
 
 
@@ -80,7 +82,8 @@ def read_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = noise_lines(spark, sf_dir).withColumns({"failed": lost, "text": F.when(~lost, F.col("text")), "confidence": F.when(~lost, F.col("confidence"))})
     held = read.withColumns(recognise.failed_reads())
     reason = noise_reason(F.col("text"), F.col("confidence"), F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"), D)
-    return held.withColumn("reason", reason).groupBy("page_id").agg(F.count_if("failed").alias("failed"), F.count_if(F.col("reason") == 1).alias("empty"), F.count_if(F.col("reason") == 0).alias("accepted"))
+    return held.withColumn("reason", reason).groupBy("page_id").agg(F.count_if("failed").alias("failed"),
+        F.count_if(F.col("reason") == 1).alias("empty"), F.count_if(F.col("reason") == 0).alias("accepted"))
 
 
 @query
@@ -90,7 +93,8 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def label_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = raw_regions(spark, sf_dir).select("page_id", "region_id", *[regions.normalise(F.when(F.col("region_id") != 2, F.col("label")), v).alias(f"label_{v.name}") for v in (B, D)])
+    named = raw_regions(spark, sf_dir).select("page_id", "region_id",
+        *[regions.normalise(F.when(F.col("region_id") != 2, F.col("label")), v).alias(f"label_{v.name}") for v in (B, D)])
     return named
 
 
@@ -119,7 +123,8 @@ def reading_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topk_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = lambda label, n: F.struct(F.lit(label).alias("label"), (n / F.lit(10.0)).alias("confidence"))
     at = F.col("page_id"), F.col("region_id")
-    held = raw_regions(spark, sf_dir).withColumn("top_k", F.array(entry("body", (at[0] + at[1]) % 7), entry("Text", (3 * at[0] + at[1]) % 7), entry("Caption", (at[0] + 2 * at[1]) % 5), entry("Mystery", at[1])))
+    held = raw_regions(spark, sf_dir).withColumn("top_k", F.array(entry("body", (at[0] + at[1]) % 7), entry("Text", (3 * at[0] + at[1]) % 7),
+        entry("Caption", (at[0] + 2 * at[1]) % 5), entry("Mystery", at[1])))
     best = held.select("page_id", "region_id", F.posexplode(regions.alternatives(F.col("top_k"), D)).alias("k", "e"))
     return best.select("page_id", "region_id", "k", "e.label", "e.confidence")
 
@@ -129,7 +134,8 @@ def bbox_from_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     point = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     corners = F.array(point("x1", "y0"), point("x0", "y0"), point("x0", "y1"), point("x1", "y1"))
     kind = F.col("page_id") % 5
-    held = raw_regions(spark, sf_dir).select("page_id", "region_id", F.when(kind > 2, F.struct(*regions.BOX)).alias("bbox"), F.when(kind == 0, corners).when(kind == 1, F.slice(corners, 1, 3)).alias("polygon"))
+    held = raw_regions(spark, sf_dir).select("page_id", "region_id", F.when(kind > 2, F.struct(*regions.BOX)).alias("bbox"),
+        F.when(kind == 0, corners).when(kind == 1, F.slice(corners, 1, 3)).alias("polygon"))
     return regions.with_geometry(held).select("page_id", "region_id", *regions.BOX)
 
 
@@ -253,7 +259,8 @@ def token_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = noise_lines(spark, sf_dir).select("page_id", "line_no", (F.col("line_no") % 4).alias("region_id"), F.when(F.col("line_no") % 3 == 0, 2).otherwise(1).alias("pass"), "text")
+    held = noise_lines(spark, sf_dir).select("page_id", "line_no", (F.col("line_no") % 4).alias("region_id"),
+        F.when(F.col("line_no") % 3 == 0, 2).otherwise(1).alias("pass"), "text")
     return held.join(_named(spark, sf_dir).select("page_id", "region_id", "label"), ["page_id", "region_id"])
 
 
@@ -264,7 +271,8 @@ def two_pass_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def elements_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inside = noise_lines(spark, sf_dir).select("page_id", (F.col("line_no") % 4).alias("region_id"), F.col("line_no").alias("elem_no"), "text", *[F.when(F.col("line_no") % 7 != 0, F.col(c)).alias(c) for c in regions.BOX])
+    inside = noise_lines(spark, sf_dir).select("page_id", (F.col("line_no") % 4).alias("region_id"), F.col("line_no").alias("elem_no"), "text",
+        *[F.when(F.col("line_no") % 7 != 0, F.col(c)).alias(c) for c in regions.BOX])
     return order.by_position(recognise.elements(inside, _named(spark, sf_dir), D)).select("page_id", "elem_no", "source_label", "font_size", "order_no", *regions.BOX)
 
 
@@ -301,17 +309,20 @@ def char_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def docinfo_xmp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = table(spark, sf_dir, "orders").select(F.concat(F.lit("scan "), F.col("o_orderkey").cast("string"), F.lit(".v1.pdf")).alias("name"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
+    named = table(spark, sf_dir, "orders").select(F.concat(F.lit("scan "), F.col("o_orderkey").cast("string"), F.lit(".v1.pdf")).alias("name"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
     info = textlayer.metadata(named, "", 'Recognised "text" & <more>', "vellumgrid", "vellumgrid")
     return textlayer.names(info).select("name", "title", "created", F.sha2("xmp", 256).alias("xmp_sha256"), "temp", "final", "review")
 
 
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    sized = table(spark, sf_dir, "orders").select(k.alias("name"), (1000 + k * 7919 % 100000).alias("orig_size"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("option"))
+    sized = table(spark, sf_dir, "orders").select(k.alias("name"), (1000 + k * 7919 % 100000).alias("orig_size"),
+        F.explode(F.sequence(F.lit(1), F.lit(3))).alias("option"))
     plain = F.col("orig_size") + F.col("orig_size") * (F.col("name") * 31 % 40) / 100
     size = F.col("orig_size") + F.col("orig_size") * (F.col("name") * F.col("option") * 17 % 35) / 100
-    return sized.select("name", "orig_size", plain.cast("long").alias("plain_size"), "option", size.cast("long").alias("size"), (F.col("name") * 13 % 3 * (F.col("option") + F.col("name")) % 5).alias("chars"))
+    return sized.select("name", "orig_size", plain.cast("long").alias("plain_size"), "option", size.cast("long").alias("size"),
+        (F.col("name") * 13 % 3 * (F.col("option") + F.col("name")) % 5).alias("chars"))
 
 
 @query
@@ -323,14 +334,16 @@ def size_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def size_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("name"), (F.col("o_orderkey") * 7919 % 1000).alias("orig_size"), (F.col("o_totalprice") * 10).cast("long").alias("final_bytes"))
+    sized = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("name"), (F.col("o_orderkey") * 7919 % 1000).alias("orig_size"),
+        (F.col("o_totalprice") * 10).cast("long").alias("final_bytes"))
     return budget.grown(sized).withColumn("growth", F.round("growth", 6))
 
 
 @query
 def artefact_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files named and sized after orders."""
-    found = table(spark, sf_dir, "orders").select(F.concat(F.lit("page_"), F.col("o_orderkey").cast("string"), F.lit("_lines.txt")).alias("name"), (F.col("o_totalprice") * 100).cast("long").alias("length"))
+    found = table(spark, sf_dir, "orders").select(F.concat(F.lit("page_"), F.col("o_orderkey").cast("string"), F.lit("_lines.txt")).alias("name"),
+        (F.col("o_totalprice") * 100).cast("long").alias("length"))
     return listed(found)
 
 
@@ -367,10 +380,12 @@ def _reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.split("text", "\n")
     box = lambda i: [F.lit(30.0).alias("x0"), (60.0 + 30 * i).alias("y0"), F.lit(600.0).alias("x1"), (80.5 + 30 * i).alias("y1")]
     kind = F.col("doc_id") % 3
-    span = lambda x, i: F.struct(F.when(kind == 0, x).alias("text"), F.when(kind == 1, F.split(x, "")).alias("chars"), *box(i), F.lit(9.0).alias("size"), F.lit(-2.0).alias("descent"))
+    span = lambda x, i: F.struct(F.when(kind == 0, x).alias("text"), F.when(kind == 1, F.split(x, "")).alias("chars"), *box(i),
+        F.lit(9.0).alias("size"), F.lit(-2.0).alias("descent"))
     blocks = F.array(F.struct(F.transform(parts, lambda x, i: F.struct(F.array(span(x, i)).alias("spans"))).alias("lines")))
     words = F.transform(parts, lambda x, i: F.struct(*box(i), x.alias("text")))
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.lit(1).alias("page_num"), F.lit(1800.0).alias("pix_h"), F.lit(2400.0).alias("pix_w"), blocks.alias("blocks"), words.alias("words"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.lit(1).alias("page_num"), F.lit(1800.0).alias("pix_h"),
+        F.lit(2400.0).alias("pix_w"), blocks.alias("blocks"), words.alias("words"))
 
 
 @query
@@ -382,8 +397,10 @@ def review_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layers of which the first ways fail or find nothing, by document."""
     parts, kind = F.split("text", "\n"), F.col("doc_id") % 5
-    span = lambda x, i: F.struct(F.concat(F.lit(" "), F.when(kind != 3, x)).alias("text"), F.lit(40.0).alias("x0"), (70.0 + 20 * i).alias("y1"), F.lit(11.0).alias("size"), F.lit(-3.0).alias("descent"))
-    piece = lambda x, i: F.struct((3 + i % 3).cast("int").alias("n"), F.lit(30.0).alias("x0"), (60.0 + 30 * i).alias("y0"), F.lit(600.0).alias("x1"), (70.5 + 31 * i).alias("y1"), x.alias("text"))
+    span = lambda x, i: F.struct(F.concat(F.lit(" "), F.when(kind != 3, x)).alias("text"), F.lit(40.0).alias("x0"), (70.0 + 20 * i).alias("y1"),
+        F.lit(11.0).alias("size"), F.lit(-3.0).alias("descent"))
+    piece = lambda x, i: F.struct((3 + i % 3).cast("int").alias("n"), F.lit(30.0).alias("x0"), (60.0 + 30 * i).alias("y0"), F.lit(600.0).alias("x1"),
+        (70.5 + 31 * i).alias("y1"), x.alias("text"))
     spans, pieces = F.transform(parts, span), F.transform(parts, piece)
     held = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("page_id"), (1 + F.col("doc_id") % 7 % 2).cast("int").alias("page_num"), F.lit(1800.0).alias("pix_h"),
@@ -406,7 +423,9 @@ def span_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     point = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     box = bbox(F.lit(None).cast("struct<x0:double,y0:double,x1:double,y1:double>"), F.array(point("x0", "y1"), point("x1", "y1"), point("x1", "y0"), point("x0", "y0")))
     colour = F.element_at(F.array(*[F.lit(c) for c in SEGMENT_COLOURS]), (F.col("line_no") % 10 + 1).cast("int"))
-    return held.select("page_id", "line_no", (box["x1"] - box["x0"]).alias("w"), font_size(box["y1"] - box["y0"], S.font).alias("font_s"), font_size(box["y1"] - box["y0"], D.font).alias("font_d"), rgb(colour)[0].alias("red"), F.length(strip(F.concat(F.lit("\t "), "text"))).alias("n"))
+    return held.select("page_id", "line_no", (box["x1"] - box["x0"]).alias("w"), font_size(box["y1"] - box["y0"], S.font).alias("font_s"),
+        font_size(box["y1"] - box["y0"], D.font).alias("font_d"), rgb(colour)[0].alias("red"),
+        F.length(strip(F.concat(F.lit("\t "), "text"))).alias("n"))
 
 
 def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,4 +449,5 @@ def tile_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels.crop(_tiles(spark, sf_dir), at - 2, at % 3, at + 3, at % 3 + 4).select("tile_id", "width", "height", F.hex("pixels").alias("pixels"))
 
 
-QUERIES |= {"tile_autocontrast": _kernel(pixels.tiled_autocontrast), "tile_contrast_sharpen": _kernel(pixels.before_reading), "tile_unsharp": _kernel(pixels.before_layout)}
+QUERIES |= {"tile_autocontrast": _kernel(pixels.tiled_autocontrast), "tile_contrast_sharpen": _kernel(pixels.before_reading),
+    "tile_unsharp": _kernel(pixels.before_layout)}
