@@ -16,7 +16,8 @@ MIDDLE = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize(("text", "words"), [
-    ("you idiot!", {"you", "idiot", "idioti"}), ("id!ot", {"idiot"}), ("1d10t", {"diot", "idiot"}), ("$cum!", {"cum", "scum", "cumi", "scumi"}), ("M0RоN", {"moron"}), ("idiot, idiot.", {"idiot"}),
+    ("you idiot!", {"you", "idiot", "idioti"}), ("id!ot", {"idiot"}), ("1d10t", {"diot", "idiot"}), ("$cum!", {"cum", "scum", "cumi", "scumi"}),
+        ("M0RоN", {"moron"}), ("idiot, idiot.", {"idiot"}),
     ("in 2024 12!34 $ @ !", {"in", "2024", "12", "34"}), ("idiot$$$", {"idiot", "idiotsss"}), ("ｉｄｉｏｔ", {"idiot"}), ("id​iot", {"idiot"}), ("", set()),
 ])
 def test_folding(text, words):
@@ -100,7 +101,8 @@ def test_quality_scores_by_hand(spark):
         first = len(model.meta.cuts) * (quality.BINS + 1)
         total += model.meta.weights[first + quality._slot(source, "source")] + model.meta.weights[first + quality._HASHED + quality._slot(lang, "lang")]
         m = model.curves[1][0] * total + model.curves[1][1]
-        assert (got[i].content_score, got[i].meta_score, got[i].score) == pytest.approx((curve(c), curve(m), curve(model.mix[0] + model.mix[1] * c + model.mix[2] * m)), abs=1e-6)
+        assert (got[i].content_score, got[i].meta_score, got[i].score) == pytest.approx((curve(c), curve(m),
+            curve(model.mix[0] + model.mix[1] * c + model.mix[2] * m)), abs=1e-6)
 
 
 def test_samples_are_bounded_by_rows(spark):
@@ -108,7 +110,8 @@ def test_samples_are_bounded_by_rows(spark):
     same = spark.range(100_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
     other = spark.range(100_000).select(F.lit(2).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
     few = spark.range(3, 303).select(F.col("id").alias("doc_id"), F.concat(F.lit("own "), F.col("id").cast("string")).alias("text"))
-    docs = same.unionByName(other).unionByName(few).withColumns({"source": F.lit("s"), "lang": F.when(F.col("doc_id") < 3, F.col("doc_id").cast("string")).otherwise("en")})
+    docs = same.unionByName(other).unionByName(few).withColumns({"source": F.lit("s"),
+        "lang": F.when(F.col("doc_id") < 3, F.col("doc_id").cast("string")).otherwise("en")})
     labels = spark.range(303).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"), (F.col("id") % 2).alias("quality"))
     rows = toxicity.sample(docs, labels, most=500)
     assert sum(x == 0 for _, x in rows) == 500 and sum(x == 1 for _, x in rows) == 151
@@ -158,7 +161,8 @@ def test_contamination_by_alignment_of_everything(spark):
             row = new
         return min(row)
 
-    want = sorted(repr((d, int(i), n)) for d, t in texts for i, c, k in zip(index.ids, index.codes, index.edits) if (n := edits(c.tolist(), decontaminate.folded(t or "")[0].tolist())) <= k)
+    want = sorted(repr((d, int(i), n)) for d, t in texts for i, c, k in zip(index.ids, index.codes,
+        index.edits) if (n := edits(c.tolist(), decontaminate.folded(t or "")[0].tolist())) <= k)
     assert sorted(repr((x.doc_id, x.item_id, x.edits)) for x in got) == want and len(want) > 10
     of = {(x.doc_id, x.item_id): x for x in got}
     for (d, i), x in of.items():  # the place alone has that many edits
@@ -189,7 +193,8 @@ def _likeness(a, b):
 @pytest.mark.parametrize("partitions", ["1", "3", "40"])
 def test_edited_fingerprints_of_odd_rows(spark, partitions):
     """All columns from the fingerprints of the texts alone, over ranges with none, one and several rows."""
-    rows = [(None, "null id " * 9), (None, "another null id " * 9), (1, None), (2, ""), (3, "a b c"), (3, "a b c"), (3, "other text of three"), (4, "w " * 30_000), (7, "é日本😀 " * 7), (9, " \n\t")]
+    rows = [(None, "null id " * 9), (None, "another null id " * 9), (1, None), (2, ""), (3, "a b c"), (3, "a b c"), (3, "other text of three"),
+        (4, "w " * 30_000), (7, "é日本😀 " * 7), (9, " \n\t")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"part": F.lit("x"), "id": F.lit(0), "h": F.lit(1)})
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
@@ -213,7 +218,8 @@ def test_edited_fingerprints_of_odd_rows(spark, partitions):
                 edited = t[: len(t) - len(t) // 3] + y[: len(t) // 3]
                 if hashlib.sha256(edited.encode()).hexdigest() == x.edited_sha256:
                     own = prints([edited])[0]
-                    found |= x.edited_fingerprint == own and x.near_edited == pytest.approx(_likeness(x.fingerprint, own)) and any(x.near_next == pytest.approx(_likeness(x.fingerprint, prints([z])[0])) for z in near)
+                    found |= x.edited_fingerprint == own and x.near_edited == pytest.approx(_likeness(x.fingerprint,
+                        own)) and any(x.near_next == pytest.approx(_likeness(x.fingerprint, prints([z])[0])) for z in near)
         assert found, x
     assert fingerprints.edited_fingerprints(docs.limit(0)).count() == 0
 

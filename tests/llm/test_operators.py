@@ -18,7 +18,8 @@ from vellumgrid.llm.common import Scratch
 from ..conftest import SMALL
 
 MIDDLE = "/root/testdata/sf0.01"
-ODD = [(1, None, None, None, 0), (2, "", "en", "a", 0), (3, "1234 !! 5", None, "a", 9), (4, "x y z", "en", None, 5), (4, "x y z", "en", None, 5), (None, "x y z w v u", "de", "b", 11), (5, "w " * 70_000, "en", "b", 140_000), (6, "é 日本 😀 'll", "fr", "b", 9)]
+ODD = [(1, None, None, None, 0), (2, "", "en", "a", 0), (3, "1234 !! 5", None, "a", 9), (4, "x y z", "en", None, 5), (4, "x y z", "en", None, 5),
+    (None, "x y z w v u", "de", "b", 11), (5, "w " * 70_000, "en", "b", 140_000), (6, "é 日本 😀 'll", "fr", "b", 9)]
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -67,7 +68,8 @@ def test_fingerprints_by_brute_force(spark):
         g = got[r.doc_id]
         assert (g.n_chars, g.edited_sha256) == (n, hashlib.sha256(edited.encode()).hexdigest())
         assert of.setdefault(r.text, g.fingerprint) == g.fingerprint
-        sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for w in ([x for x in re.split("[ \t-\r]+", t.lower()) if x] for t in (r.text, edited))]
+        sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for w in ([x for x in re.split("[ \t-\r]+",
+            t.lower()) if x] for t in (r.text, edited))]
         true = len(sets[0] & sets[1]) / max(1, len(sets[0] | sets[1]))
         assert abs(true - g.near_edited) < 0.2
     assert fingerprints.edited_fingerprints(documents(spark).limit(0)).count() == 0
@@ -135,7 +137,8 @@ def test_matches_equal_alignment_of_everything():
         texts.append("".join(r.choice(letters, 40)) + "".join(x) + "".join(r.choice(letters, 40)))
     index = decontaminate.build(items)
     got = {(d, i) for d, i, *_ in decontaminate.matches(index, [*texts, ""])}
-    want = {(d, int(i)) for d, t in enumerate(texts) for i, c, k in zip(index.ids, index.codes, index.edits) if _edits(c.tolist(), decontaminate.folded(t)[0].tolist()) <= k}
+    want = {(d, int(i)) for d, t in enumerate(texts) for i, c, k in zip(index.ids, index.codes, index.edits) if _edits(c.tolist(),
+        decontaminate.folded(t)[0].tolist()) <= k}
     assert got == want and len(want) > 10
 
 
@@ -160,7 +163,8 @@ def test_held_out_accuracy(spark):
 
 
 def test_models_on_odd_rows(spark, odd):
-    model = language_id.fit([("the cat and the dog are here", "en"), ("der hund und die katze sind hier", "de"), ("le chat et le chien sont ici", "fr"), ("el gato y el perro estan aqui", "es")])
+    model = language_id.fit([("the cat and the dog are here", "en"), ("der hund und die katze sind hier", "de"),
+        ("le chat et le chien sont ici", "fr"), ("el gato y el perro estan aqui", "es")])
     got = language_id.predict(odd, model, keep=[F.col("doc_id")]).collect()
     assert len(got) == len(ODD) and [r.lang_pred for r in got if r.doc_id in (1, 2, 3)] == ["und"] * 3
     assert language_id.accepted(odd, language_id.fit([])).count() == len(ODD) - 3
@@ -282,7 +286,9 @@ def test_pipeline_stage_by_stage(spark):
     import public_tokenizers
 
     docs = documents(spark, MIDDLE)
-    extra = [(10**6, "12 34 !!", "en", "src0", 8), (10**6 + 1, None, None, None, None), (10**6 + 2, " ".join(f"word{i}" for i in range(40)), "en", "src0", 200), (10**6 + 3, " ".join(f"word{i}" for i in range(41)), None, None, None)]
+    extra = [(10**6, "12 34 !!", "en", "src0", 8), (10**6 + 1, None, None, None, None),
+        (10**6 + 2, " ".join(f"word{i}" for i in range(40)), "en", "src0", 200),
+        (10**6 + 3, " ".join(f"word{i}" for i in range(41)), None, None, None)]
     docs = docs.unionByName(spark.createDataFrame(extra, COLUMNS))
     scratch = Scratch(spark, "test")
     kept = {}
@@ -303,7 +309,8 @@ def test_pipeline_stage_by_stage(spark):
     leaked = {d for d, t in folded.items() if any(_occurs(c, t, int(k)) for c, k in zip(items.codes, items.edits))}
     assert leaked and set(texts["decontaminate"]) == set(texts["near_dedup"]) - leaked
     # mix: each document a whole number of times, two at most, and the sources near their targets
-    got = kept["mix"].groupBy("doc_id").count().join(kept["decontaminate"], "doc_id", "right").select("doc_id", "source", "text", F.coalesce("count", F.lit(0)).alias("n")).collect()
+    got = kept["mix"].groupBy("doc_id").count().join(kept["decontaminate"], "doc_id", "right").select("doc_id", "source", "text",
+        F.coalesce("count", F.lit(0)).alias("n")).collect()
     sizes, taken = {}, {}
     for r in got:
         size = len([x for x in re.split("[ \t-\r]+", r.text) if x])

@@ -70,7 +70,8 @@ def test_ids_with_several_texts(spark, same):
     a, b, c, d = (text() for _ in range(4))
     near = lambda t, i: " ".join([*t[:-1], f"x{i}"])
     whole = " ".join
-    rows = [(5, whole(a)), (5, whole(b)), (7, near(b, 7)), (9, near(a, 9)), (3, near(d, 3)), (8, whole(d)), (8, whole(c)), (10, near(c, 10)), (11, whole(c)), (5, None), (5, whole(b)), (None, whole(a)), (12, "one"), (12, "one two")]
+    rows = [(5, whole(a)), (5, whole(b)), (7, near(b, 7)), (9, near(a, 9)), (3, near(d, 3)), (8, whole(d)), (8, whole(c)), (10, near(c, 10)),
+        (11, whole(c)), (5, None), (5, whole(b)), (None, whole(a)), (12, "one"), (12, "one two")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for order in (rows, rows[::-1]):
         got = near_dedup.near_duplicates(spark.createDataFrame(order, docs.schema)).collect()
@@ -95,7 +96,8 @@ def test_a_cluster_must_name_its_shared_folder(master, fine):
     from vellumgrid.llm import common
 
     conf = {}
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d), set=conf.__setitem__), sparkContext=SimpleNamespace(master=master, setCheckpointDir=lambda x: None))
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d), set=conf.__setitem__),
+        sparkContext=SimpleNamespace(master=master, setCheckpointDir=lambda x: None))
     if fine:
         assert common.shared_dir(session).startswith("file://")
     else:

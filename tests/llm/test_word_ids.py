@@ -10,7 +10,9 @@ import pytest
 
 from vellumgrid.llm import word_ids
 
-WORDS = ["the", "Straße", "École", "I'm", "don't", "'s", "''s", "x1y22", "a.b.c", "!!!", "<|endoftext|>", "<|EndOfText|>", "<|", "日本語", "İx", "ΣΑΣ", "é", "á̧", "ÿÝ", "×÷", "ÆØ", "\x1c", "\x85", " ", "\xa0", "\x7f", "\x00", "😀", "aaaa", "aaaaaaa", "ﬁ", "ǅ", "​", "１２", "½", "ªº", "_", "$$$", "0123456789"]
+WORDS = ["the", "Straße", "École", "I'm", "don't", "'s", "''s", "x1y22", "a.b.c", "!!!", "<|endoftext|>", "<|EndOfText|>", "<|", "日本語", "İx", "ΣΑΣ",
+    "é", "á̧", "ÿÝ", "×÷", "ÆØ", "\x1c", "\x85", " ", "\xa0", "\x7f", "\x00", "😀", "aaaa", "aaaaaaa", "ﬁ", "ǅ", "​", "１２", "½", "ªº", "_", "$$$",
+    "0123456789"]
 LETTERS = "abcdeABCDE étÀß'.,!-<|>019 \t\n\v\f\r\x1c\x85 日İ"
 
 

@@ -180,7 +180,8 @@ def matches(index: Index, texts: list[str], seen: np.ndarray | None = None, expa
     return rows
 
 
-def _found(index: Index, seen: np.ndarray, parts: list[np.ndarray], numbers: list[int], before: int, expanded: int, best: dict[tuple[int, int], tuple[int, int, int]]) -> None:
+def _found(index: Index, seen: np.ndarray, parts: list[np.ndarray], numbers: list[int], before: int, expanded: int,
+    best: dict[tuple[int, int], tuple[int, int, int]]) -> None:
     """Put (edits, end, start) in folded text of the best place of every item into ``best``, by number of text and item (``before`` are in other halves)."""
     gap = np.zeros(1, np.uint32)
     flat = np.concatenate([y for x in parts for y in (x, gap)] or [gap])
@@ -237,7 +238,8 @@ def _found(index: Index, seen: np.ndarray, parts: list[np.ndarray], numbers: lis
         best[numbers[d], before + i] = (edits, end, first_of(index.codes[i], parts[d], min(end, len(parts[d])), edits))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", edits: float = EDITS, block: int = BLOCK) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    edits: float = EDITS, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, start, end, edits): a row for each document and item that occurs in it, with the place of the best occurrence."""
     source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     out = None
@@ -247,7 +249,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     return out
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", edits: float = EDITS, block: int = BLOCK) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", edits: float = EDITS,
+    block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` in which no item occurs; each is judged by its own text, whatever its id."""
     for index in _indexes(docs, benchmark, item_id, item_text, edits, block):
         docs = docs.mapInArrow(_clean(index, text), docs.schema)

@@ -108,7 +108,8 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", bands:
                 found = _minima(np.concatenate(sets), np.concatenate([[0], np.cumsum(size)]))
                 keys = band_keys(found, bands).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(printed(found)), pa.array(size), pa.array([digest(x) for x in sets], pa.binary()), pa.array(list(keys), pa.list_(pa.int64()))], names=["id", "fingerprint", "n_shingles", "set", "bands"]
+                    [batch.column("id"), pa.array(printed(found)), pa.array(size), pa.array([digest(x) for x in sets], pa.binary()),
+                        pa.array(list(keys), pa.list_(pa.int64()))], names=["id", "fingerprint", "n_shingles", "set", "bands"]
                 )
 
     return source.mapInArrow(run, "id long, fingerprint string, n_shingles long, set binary, bands array<long>")
@@ -130,7 +131,8 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[
     return out
 
 
-def near_pairs(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, id: str = "doc_id", text: str = "text", scratch: Scratch | None = None, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
+def near_pairs(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, id: str = "doc_id", text: str = "text",
+    scratch: Scratch | None = None, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
     """(id, like, jaccard): links of ids to smaller ones whose whole sets are as similar as asked.
 
     Every two sets that share a band are compared, and those of a cluster that are linked
@@ -143,14 +145,16 @@ def near_pairs(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BAN
     sets = prints.where("set is not null and id is not null")
     classes = sets.groupBy("set").agg(F.min("id").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     classes = scratch.keep(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
-    copies = sets.select("id", "set").join(classes.select("set", F.col("head").alias("like")), "set").where("id <> like").select("id", "like", F.lit(1.0).alias("jaccard")).distinct()
+    copies = sets.select("id", "set").join(classes.select("set", F.col("head").alias("like")), "set").where("id <> like").select("id", "like",
+        F.lit(1.0).alias("jaccard")).distinct()
     clusters = clustered(classes.select("no", F.explode("bands").alias("key")), scratch)
     members = scratch.keep(classes.drop("bands").join(clusters, "no"), "members")
 
     def run(t: pa.Table) -> pa.Table:
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]
         found = _forest(t.column("head").to_numpy(), sets, similarity)
-        return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "like": pa.array([x[1] for x in found], pa.int64()), "jaccard": pa.array([x[2] for x in found], pa.float64())})
+        return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "like": pa.array([x[1] for x in found], pa.int64()),
+            "jaccard": pa.array([x[2] for x in found], pa.float64())})
 
     # (blocks by size: a link needs sizes within the ratio of the threshold)
     percent = max(1, min(99, int(100 * similarity)))
@@ -167,7 +171,9 @@ def _edited(ids: list, texts: list[str], before: list[str], own: np.ndarray, nex
     edited = [x[: len(x) - n] + y[:n] for x, y, n in zip(texts, before, cuts)]
     changed = signatures(pa.array(edited, pa.string()))
     return [
-        pa.array(ids, pa.int64()), pa.array([len(x) for x in texts], pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()), pa.array(printed(own), pa.string()), pa.array(printed(changed), pa.string()),
+        pa.array(ids, pa.int64()), pa.array([len(x) for x in texts], pa.int64()),
+            pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()), pa.array(printed(own), pa.string()),
+            pa.array(printed(changed), pa.string()),
         pa.array(likeness(own, changed)), pa.array(likeness(own, nexts)),
     ]
 
@@ -185,7 +191,8 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
     scratch = scratch or Scratch(spark, "edited")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     plain = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    ordered = plain.repartitionByRange(n, F.asc_nulls_first("id"), "h").sortWithinPartitions(F.asc_nulls_first("id"), "h", "text").select(F.spark_partition_id().alias("part"), "id", "text")
+    ordered = plain.repartitionByRange(n, F.asc_nulls_first("id"), "h").sortWithinPartitions(F.asc_nulls_first("id"), "h",
+        "text").select(F.spark_partition_id().alias("part"), "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, last, sig, part = None, None, None, None
@@ -202,7 +209,8 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
                 none = len(ids) - skip
                 yield pa.RecordBatch.from_arrays([*rows, *[pa.nulls(none, t) for t in edge]], names=names)
         if first is not None:
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, t) for t in kinds], pa.array([part], pa.int32()), pa.array([first[0]], pa.int64()), pa.array([first[1]], pa.string()), pa.array([last[1]], pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, t) for t in kinds], pa.array([part], pa.int32()), pa.array([first[0]], pa.int64()),
+                pa.array([first[1]], pa.string()), pa.array([last[1]], pa.string())], names=names)
 
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     edge = [pa.int32(), pa.int64(), pa.string(), pa.string()]
@@ -217,7 +225,8 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text",
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, before = batch.column("first_text"), batch.column("last_text")
-            yield pa.RecordBatch.from_arrays(_edited(batch.column("first_id").to_pylist(), texts.to_pylist(), before.to_pylist(), signatures(texts), signatures(before)), names=names[:7])
+            yield pa.RecordBatch.from_arrays(_edited(batch.column("first_id").to_pylist(), texts.to_pylist(), before.to_pylist(), signatures(texts),
+                signatures(before)), names=names[:7])
 
     return done.where("part is null").select(*names[:7]).unionByName(firsts.select("first_id", "first_text", "last_text").mapInArrow(rest, _RESULT))
 

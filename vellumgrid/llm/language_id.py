@@ -168,7 +168,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[Column
                 lang, score = sent.value.predict(texts)
                 for i in np.flatnonzero(~lettered(texts)):
                     lang[i], score[i] = UNKNOWN, 0.0
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*kept, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                    names=[*kept, "lang_pred", "score"])
 
     return source.mapInArrow(run, source.drop("__text").schema.add("lang_pred", "string").add("score", "double"))
 

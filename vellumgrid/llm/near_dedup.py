@@ -123,7 +123,9 @@ def sketches(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
                 packed = registers(np.array(least)).tobytes()
                 step = 2 * BUCKETS
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(size, pa.int64()), pa.array(digests, pa.binary()), pa.array([packed[i * step : (i + 1) * step] if h else None for i, h in enumerate(has)], pa.binary())], names=["id", "n_shingles", "set", "sketch"]
+                    [batch.column("id"), pa.array(size, pa.int64()), pa.array(digests, pa.binary()),
+                        pa.array([packed[i * step : (i + 1) * step] if h else None for i, h in enumerate(has)], pa.binary())],
+                        names=["id", "n_shingles", "set", "sketch"]
                 )
 
     return source.mapInArrow(run, "id long, n_shingles long, set binary, sketch binary")
@@ -143,7 +145,8 @@ def sets_of(docs: DataFrame, text: str) -> DataFrame:
                 data, at = bytes_of(batch.column("text"))
                 hashes, to = shingles_of(*words_of(data, at), WIDTH)
                 sets = [np.unique(hashes[a:b]) for a, b in zip(to, to[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array([digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["set", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([digest(x) for x in sets], pa.binary()),
+                    pa.array([x.tobytes() for x in sets], pa.binary())], names=["set", "shingles"])
 
     source = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     return source.mapInArrow(run, "set binary, shingles binary")
@@ -212,7 +215,8 @@ def deal(members: DataFrame, scratch: Scratch, percent: int, limit: int, most: i
     level = F.floor(F.log(F.col("n_shingles").cast("double")) / -np.log(percent / 100)).cast("int")
     per = members.groupBy("cluster", level.alias("level")).agg(F.sum("n_shingles").alias("n"), F.count("*").alias("rows"))
     load = F.greatest(F.col("n") / limit, F.col("rows") / most)
-    whole = per.groupBy("cluster").agg(F.greatest(F.sum("n") / limit, F.sum("rows") / most).alias("load"), F.collect_list(F.struct("level", F.ceil(2 * load).cast("int").alias("blocks"))).alias("levels"))
+    whole = per.groupBy("cluster").agg(F.greatest(F.sum("n") / limit, F.sum("rows") / most).alias("load"),
+        F.collect_list(F.struct("level", F.ceil(2 * load).cast("int").alias("blocks"))).alias("levels"))
     large = scratch.keep(whole.where("load > 1").select("cluster", F.map_from_entries("levels").alias("blocks")), "large")
     blocks = lambda step: F.element_at("blocks", F.col("level") + step)
     b = F.pmod(F.xxhash64(by), blocks(0)).cast("int")
@@ -241,7 +245,8 @@ def clustered(bands: DataFrame, scratch: Scratch) -> DataFrame:
     return components(stars, scratch).select(F.col("id").alias("no"), F.col("component").alias("cluster"))
 
 
-def compared(docs: DataFrame, members: DataFrame, scratch: Scratch, run: Callable[[pa.Table], pa.Table], schema: str, columns: tuple[str, ...], id: str, text: str, percent: int, limit: int, most: int) -> DataFrame:
+def compared(docs: DataFrame, members: DataFrame, scratch: Scratch, run: Callable[[pa.Table], pa.Table], schema: str, columns: tuple[str, ...],
+    id: str, text: str, percent: int, limit: int, most: int) -> DataFrame:
     """``run`` on the ``columns`` and shingles of each task of the clusters ``members`` (cluster, no, head, n_shingles, set and more)."""
     heads = scratch.keep(members.select(F.col("head").alias("__id")).distinct(), "heads")
     # (an id may repeat, with one text or several: a set is wanted once, and only if it is a member's)
@@ -251,7 +256,8 @@ def compared(docs: DataFrame, members: DataFrame, scratch: Scratch, run: Callabl
     return dealt.select(F.xxhash64("cluster", "task").alias("deal"), *columns, "shingles").groupBy("deal").applyInArrow(run, schema)
 
 
-def confirmed(docs: DataFrame, members: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", percent: int = PERCENT, limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
+def confirmed(docs: DataFrame, members: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", percent: int = PERCENT,
+    limit: int = CLUSTER, most: int = MEMBERS) -> DataFrame:
     """A spanning forest (a, b) of the links within the clusters ``members`` (cluster, no, head, n_shingles, set, sketch)."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -284,7 +290,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", per
     linked = scratch.keep(classes.select("no", "head").join(joined, "no"), "linked")
     named = linked.join(linked.groupBy("component").agg(F.min("head").alias("least")), "component").select("no", "least")
     heads_of = classes.select("no", "set", "head").join(named, "no", "left").select("set", F.coalesce("least", "head").alias("component"))
-    out = all_docs.select("id", "n_shingles", "set").join(heads_of, "set", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+    out = all_docs.select("id", "n_shingles", "set").join(heads_of, "set", "left").select("id", "n_shingles",
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
     done = scratch.keep(out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))), "near")
     scratch.clear(done)
     return done
@@ -299,7 +306,9 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", percen
     """
     scratch = Scratch(docs.sparkSession, "near")
     near = near_duplicates(docs, id, text, percent).where("id is not null")
-    per = scratch.keep(near.groupBy("id").agg(F.min("component_id").alias("least"), F.count("*").alias("rows")).where("least < id or rows > 1").select(F.col("id").alias("__id"), (F.col("least") < F.col("id")).alias("gone")), "gone")
+    per = scratch.keep(near.groupBy("id").agg(F.min("component_id").alias("least"),
+        F.count("*").alias("rows")).where("least < id or rows > 1").select(F.col("id").alias("__id"),
+        (F.col("least") < F.col("id")).alias("gone")), "gone")
     own = only(docs, per.where("gone").select("__id"), id, "left_anti")
     again = per.where("not gone").select("__id")
     if not again.isEmpty():

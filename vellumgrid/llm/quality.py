@@ -62,7 +62,8 @@ def layout(texts: pa.Array) -> np.ndarray:
         kinds = np.bincount(which, minlength=8 * len(n)).reshape(-1, 8).astype(float)
     size = np.maximum(n, 1)
     letters = np.maximum(kinds[:, 1] + kinds[:, 2] + kinds[:, 3], 1)
-    return np.stack([np.log1p(n), kinds[:, 1] / letters, kinds[:, 3] / letters, kinds[:, 4] / size, kinds[:, 5] / size, kinds[:, 6] / size, kinds[:, 7] / size, size / (kinds[:, 5] + kinds[:, 6] + 1)], axis=1)
+    return np.stack([np.log1p(n), kinds[:, 1] / letters, kinds[:, 3] / letters, kinds[:, 4] / size, kinds[:, 5] / size, kinds[:, 6] / size,
+        kinds[:, 7] / size, size / (kinds[:, 5] + kinds[:, 6] + 1)], axis=1)
 
 
 def _slot(value: str | None, salt: str) -> int:
@@ -180,7 +181,8 @@ def score(docs: DataFrame, model: Model, keep: list[Column] = ()) -> DataFrame:
     """The columns ``keep`` plus content_score, meta_score and score of each whole text."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("__text"), F.col("source").cast("string").alias("__source"), F.col("lang").cast("string").alias("__lang"))
+    source = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("__text"), F.col("source").cast("string").alias("__source"),
+        F.col("lang").cast("string").alias("__lang"))
     kept = source.columns[:-3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -63,7 +63,8 @@ def address(text: str = "text") -> Column:
 
 def _scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """(blob, rules, hits): for each match, in order, the characters since the last and its own."""
-    found = blobs.select("blob", "todo", "__text", *[F.when(F.array_contains("todo", r.key), F.regexp_extract_all("__text", F.lit(r.pattern), F.lit(0))).alias(f"m{i}") for i, r in enumerate(rules)])
+    found = blobs.select("blob", "todo", "__text", *[F.when(F.array_contains("todo", r.key),
+        F.regexp_extract_all("__text", F.lit(r.pattern), F.lit(0))).alias(f"m{i}") for i, r in enumerate(rules)])
     some = lambda i, x: F.when(F.size(F.coalesce(f"m{i}", F.array())) > 0, x)
     parts = found.select(
         "blob", "todo", *[f"m{i}" for i in range(len(rules))],
@@ -72,10 +73,13 @@ def _scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
     def hits(i: int, rule: Rule) -> Column:
-        return F.transform(F.arrays_zip(F.slice(f"g{i}", F.lit(1), F.size(f"m{i}")).alias("g"), F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v")), lambda x: F.struct(F.char_length(x["g"]).alias("gap"), F.char_length(x["m"]).alias("len"), (F.char_length(x["v"]) >= rule.least).alias("ok")))
+        return F.transform(F.arrays_zip(F.slice(f"g{i}", F.lit(1), F.size(f"m{i}")).alias("g"), F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v")),
+            lambda x: F.struct(F.char_length(x["g"]).alias("gap"), F.char_length(x["m"]).alias("len"),
+            (F.char_length(x["v"]) >= rule.least).alias("ok")))
 
     kind = "array<struct<gap:int,len:int,ok:boolean>>"
-    return parts.select("blob", F.col("todo").alias("rules"), F.array(*[F.coalesce(some(i, hits(i, r)).cast(kind), F.array().cast(kind)) for i, r in enumerate(rules)]).alias("hits"))
+    return parts.select("blob", F.col("todo").alias("rules"),
+        F.array(*[F.coalesce(some(i, hits(i, r)).cast(kind), F.array().cast(kind)) for i, r in enumerate(rules)]).alias("hits"))
 
 
 def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text", scratch: Scratch | None = None) -> DataFrame:
@@ -94,11 +98,14 @@ def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: t
         blobs = blobs.withColumn("todo", keys)
     else:
         known = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("had"))
-        blobs = blobs.join(known, "blob", "left").select("blob", "__text", F.array_except(keys, F.coalesce("had", F.array().cast("array<string>"))).alias("todo")).where(F.size("todo") > 0)
+        blobs = blobs.join(known, "blob", "left").select("blob", "__text",
+            F.array_except(keys, F.coalesce("had", F.array().cast("array<string>"))).alias("todo")).where(F.size("todo") > 0)
     raw = scratch.keep(_scan(blobs, rules), "raw")
     hit = raw.select("blob", F.posexplode("hits").alias("kind_no", "run")).select("blob", "kind_no", F.posexplode("run").alias("i", "hit"))
     to = F.sum(F.col("hit.gap") + F.col("hit.len")).over(W.partitionBy("blob", "kind_no").orderBy("i"))
-    spans = hit.withColumn("end", to).where("hit.ok").select("blob", F.struct((F.col("end") - F.col("hit.len")).alias("start"), "kind_no", F.element_at(F.array(*[F.lit(r.kind) for r in rules]), F.col("kind_no") + 1).alias("kind"), "end").alias("f"))
+    spans = hit.withColumn("end", to).where("hit.ok").select("blob",
+        F.struct((F.col("end") - F.col("hit.len")).alias("start"), "kind_no",
+        F.element_at(F.array(*[F.lit(r.kind) for r in rules]), F.col("kind_no") + 1).alias("kind"), "end").alias("f"))
     found = spans.groupBy("blob").agg(F.sort_array(F.collect_list("f")).alias("findings"))
     return raw.select("blob", "rules").join(found, "blob", "left").select("blob", "rules", F.coalesce(F.col("findings"), F.array()).cast(FINDING).alias("findings"))
 
@@ -116,13 +123,15 @@ def findings_of(versions: DataFrame, ledger: DataFrame, text: str = "text", scra
     n = found.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("findings")), F.lit(0)).alias("spans")).first()
     few = 200 * n["rows"] + 100 * n["spans"] <= SENT
     kept = [c for c in versions.columns if c not in (text, "blob", "findings")]
-    return versions.select(*[F.col(f"`{c}`") for c in kept], address(text).alias("blob")).join(F.broadcast(found) if few else found, "blob", "left").select(*[F.col(f"`{c}`") for c in kept], "blob", F.coalesce(F.col("findings"), F.array()).cast(FINDING).alias("findings"))
+    return versions.select(*[F.col(f"`{c}`") for c in kept], address(text).alias("blob")).join(F.broadcast(found) if few else found, "blob",
+        "left").select(*[F.col(f"`{c}`") for c in kept], "blob", F.coalesce(F.col("findings"), F.array()).cast(FINDING).alias("findings"))
 
 
 def digest(findings: str, rules: tuple[Rule, ...], base: bool) -> Column:
     """kind:start:end of the spans, comma-joined, by start and then kind."""
     kinds = [i for i, r in enumerate(rules) if r.base or not base]
-    return F.array_join(F.transform(F.filter(findings, lambda x: x["kind_no"].isin(kinds)), lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return F.array_join(F.transform(F.filter(findings, lambda x: x["kind_no"].isin(kinds)),
+        lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +140,8 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = scratch.keep(update_ledger(docs, scratch=scratch), "ledger")
     count = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return findings_of(docs, ledger).select(
-        "doc_id", *[count(k) for k in ("assign", "access", "hex")], F.sha2(digest("findings", RULES, True).cast("binary"), 256).alias("base_sha256"), digest("findings", RULES, False).alias("spans")
+        "doc_id", *[count(k) for k in ("assign", "access", "hex")], F.sha2(digest("findings", RULES, True).cast("binary"), 256).alias("base_sha256"),
+            digest("findings", RULES, False).alias("spans")
     )
 
 

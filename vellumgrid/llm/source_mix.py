@@ -53,7 +53,8 @@ def targets(sizes: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weig
     order = W.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))
     n = (F.row_number().over(order) - 1) % len(weights)
     every = W.partitionBy(F.lit(0)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    ranked = sizes.withColumn("__w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (n + 1).cast("int"))).withColumn("__cap", F.col("source_size") * F.lit(float(epochs)))
+    ranked = sizes.withColumn("__w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (n + 1).cast("int"))).withColumn("__cap",
+        F.col("source_size") * F.lit(float(epochs)))
     ranked = ranked.withColumn("__total", F.sum("source_size").over(every) * F.lit(float(share))).withColumn("__all_w", F.sum("__w").over(every))
     level = W.orderBy(F.col("__cap") / F.col("__w"), F.col("source").isNull(), F.encode("source", "UTF-8")).rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = ranked.withColumn("__used", F.sum("__cap").over(level)).withColumn("__used_w", F.sum("__w").over(level))
@@ -61,7 +62,8 @@ def targets(sizes: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weig
     own = (F.col("__total") - (F.col("__used") - F.col("__cap"))) / (F.col("__all_w") - (F.col("__used_w") - F.col("__w")))
     ranked = ranked.withColumn("__level", own).withColumn("__clamped", F.col("__level") * F.col("__w") > F.col("__cap"))
     free = F.min(F.when(~F.col("__clamped"), F.struct("__used_w", "__level"))).over(every)
-    return ranked.select("source", "source_size", F.when(F.col("__clamped"), F.col("__cap")).otherwise(F.coalesce(free["__level"], F.lit(0.0)) * F.col("__w")).alias("target"))
+    return ranked.select("source", "source_size", F.when(F.col("__clamped"),
+        F.col("__cap")).otherwise(F.coalesce(free["__level"], F.lit(0.0)) * F.col("__w")).alias("target"))
 
 
 def _place(id: str, seed: int) -> Column:
@@ -69,7 +71,8 @@ def _place(id: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(f"`{id}`").cast("string"), F.lit(""))).cast("binary"))
 
 
-def repetitions(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, id: str = "doc_id", text: str = "text", source: str = "source", scratch: Scratch | None = None) -> DataFrame:
+def repetitions(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED,
+    id: str = "doc_id", text: str = "text", source: str = "source", scratch: Scratch | None = None) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as the mix takes it, whole documents only.
 
     A source's fractional repetition ends at one place of the seeded order. That place,
@@ -86,12 +89,15 @@ def repetitions(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, w
     plan = plan.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     plan = plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     to = F.sum("n").over(W.partitionBy("source").orderBy("bucket"))
-    cut = buckets.withColumn("before", to - F.col("n")).alias("b").join(plan.alias("p"), F.col("b.source").eqNullSafe(F.col("p.source"))).where("before < rest and rest <= before + n").select("b.source", "bucket", "before", "rest")
+    cut = buckets.withColumn("before", to - F.col("n")).alias("b").join(plan.alias("p"),
+        F.col("b.source").eqNullSafe(F.col("p.source"))).where("before < rest and rest <= before + n").select("b.source", "bucket", "before", "rest")
     inside = sized.alias("d").join(cut.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.bucket") == F.col("c.bucket"))).select("d.source", "d.bucket", "key", "size", "rows", "before", "rest")
     was = F.sum(F.col("size") * F.col("rows")).over(W.partitionBy("source").orderBy("key", "size")) - F.col("size") * F.col("rows")
     last = inside.withColumn("left", F.col("rest") - F.col("before") - was).where("left > 0 and 2 * left >= size * rows").groupBy("source").agg(F.max(F.struct("key", "size")).alias("last"))
-    ends = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").join(last.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")), "left")
-    ends = scratch.keep(ends.select(F.col("p.source").alias("__s"), F.col("whole").alias("__whole"), F.when(F.col("p.rest") > 0, F.coalesce("bucket", F.lit("g"))).alias("__bucket"), F.col("last").alias("__last")), "ends")
+    ends = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").join(last.alias("l"),
+        F.col("p.source").eqNullSafe(F.col("l.source")), "left")
+    ends = scratch.keep(ends.select(F.col("p.source").alias("__s"), F.col("whole").alias("__whole"),
+        F.when(F.col("p.rest") > 0, F.coalesce("bucket", F.lit("g"))).alias("__bucket"), F.col("last").alias("__last")), "ends")
     # a written table has a known size: Spark broadcasts it only if it is below its limit
     both = docs.withColumns({"__size": size, "__key": key}).join(ends, name.eqNullSafe(F.col("__s")))
     first = F.substring("__key", 1, DIGITS)
@@ -101,7 +107,8 @@ def repetitions(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, w
     return both.withColumn("__n", every).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def mix(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, id: str = "doc_id", text: str = "text", source: str = "source", divide: bool = True, keep: tuple[str, ...] = (), scratch: Scratch | None = None) -> DataFrame:
+def mix(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, id: str = "doc_id",
+    text: str = "text", source: str = "source", divide: bool = True, keep: tuple[str, ...] = (), scratch: Scratch | None = None) -> DataFrame:
     """Per document: id, size, source, source_size, target, taken (words, repeats counted), and the columns ``keep``.
 
     With ``divide`` the document at which a source's rest is used up gives just what is
@@ -110,7 +117,8 @@ def mix(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights:
     scratch = scratch or Scratch(docs.sparkSession, "mix")
     key = _place(id, seed)
     named = list(dict.fromkeys([id, *keep]))
-    sized = docs.select(*[F.col(f"`{c}`") for c in named if c not in ("source",)], F.col(f"`{source}`").cast("string").alias("source"), words(text).alias("size"), key.alias("__key"))
+    sized = docs.select(*[F.col(f"`{c}`") for c in named if c not in ("source",)], F.col(f"`{source}`").cast("string").alias("source"),
+        words(text).alias("size"), key.alias("__key"))
     sized = scratch.keep(sized.withColumn("__bucket", F.substring("__key", 1, DIGITS)), "sizes")
     buckets = sized.groupBy("source", "__bucket").agg(F.sum("size").alias("n"))
     plan = targets(buckets.groupBy("source").agg(F.sum("n").alias("source_size")), share, epochs, weights)
@@ -127,7 +135,8 @@ def mix(docs: DataFrame, share: float = SHARE, epochs: float = EPOCHS, weights:
     part = F.greatest(F.lit(0), F.least(F.col("size"), left))
     if not divide:
         part = F.when(2 * left >= F.col("size"), F.col("size")).otherwise(0)
-    return both.select(*[F.col(f"d.`{c}`") for c in named if c != "source"], "d.source", "size", "source_size", "target", (F.col("__whole") * F.col("size") + part).cast("long").alias("taken"))
+    return both.select(*[F.col(f"d.`{c}`") for c in named if c != "source"], "d.source", "size", "source_size", "target",
+        (F.col("__whole") * F.col("size") + part).cast("long").alias("taken"))
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

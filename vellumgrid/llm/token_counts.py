@@ -146,7 +146,8 @@ def token_counts(docs: DataFrame, text: str = "text", model: str | None = None,
                 batch = whole.slice(start, 256)
                 texts = batch.column("__text")
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in kept], pc.binary_length(texts).cast("int64"), pa.array(count_tokens(pieces, texts.to_pylist(), chunk, overlap), pa.int64())],
+                    [*[batch.column(c) for c in kept], pc.binary_length(texts).cast("int64"),
+                        pa.array(count_tokens(pieces, texts.to_pylist(), chunk, overlap), pa.int64())],
                     names=[*kept, "n_bytes", "n_tokens"],
                 )
 

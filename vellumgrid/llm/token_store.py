@@ -78,7 +78,8 @@ def tokenized(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str =
             packed = ids.astype(width)
             offsets = pa.py_buffer((to * packed.itemsize).astype(np.int32).tobytes())
             column = pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(packed.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(np.arange(seq, seq + n)), batch.column("doc_id"), column], names=["shard", "seq", "doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(np.arange(seq, seq + n)), batch.column("doc_id"), column],
+                names=["shard", "seq", "doc_id", "ids"])
             seq += n
 
     source = _ordered(docs, id, text).select(F.spark_partition_id().alias("shard"), "doc_id", "text")
@@ -115,7 +116,8 @@ def _counts(width: str):
     return run
 
 
-def write_store(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", model: str | None = None, end: int | None = END, block: int = BLOCK, every: int = EVERY, most: int = MOST_BITS) -> None:
+def write_store(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", model: str | None = None, end: int | None = END,
+    block: int = BLOCK, every: int = EVERY, most: int = MOST_BITS) -> None:
     """Tokenize every whole text and write the store below ``path``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
@@ -139,7 +141,8 @@ def write_store(docs: DataFrame, path: str, id: str = "doc_id", text: str = "tex
         def flush() -> pa.RecordBatch:
             sizes = [len(x[3]) for x in held]
             data, at = coder.encode(np.concatenate([x[3] for x in held]), every)
-            row = {"shard": held[0][0], "seq": held[0][1], "n_ids": sum(sizes), "doc_ids": [x[2] for x in held], "sizes": sizes, "checkpoints": at.tolist(), "crc": zlib.crc32(data), "payload": data}
+            row = {"shard": held[0][0], "seq": held[0][1], "n_ids": sum(sizes), "doc_ids": [x[2] for x in held], "sizes": sizes,
+                "checkpoints": at.tolist(), "crc": zlib.crc32(data), "payload": data}
             held.clear()
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
@@ -158,7 +161,8 @@ def write_store(docs: DataFrame, path: str, id: str = "doc_id", text: str = "tex
         if held:
             yield flush()
 
-    arrow = pa.schema([("shard", pa.int32()), ("seq", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("checkpoints", pa.list_(pa.int64())), ("crc", pa.int64()), ("payload", pa.binary())])
+    arrow = pa.schema([("shard", pa.int32()), ("seq", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+        ("sizes", pa.list_(pa.int64())), ("checkpoints", pa.list_(pa.int64())), ("crc", pa.int64()), ("payload", pa.binary())])
     blocks = ids.mapInArrow(run, "shard int, seq long, n_ids long, doc_ids array<long>, sizes array<long>, checkpoints array<long>, crc long, payload binary")
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     scratch.drop(ids)
@@ -205,13 +209,15 @@ def read_store(spark: SparkSession, path: str, ids: bool = True, every: int = EV
                 ends, block_ends = np.cumsum(sizes), np.cumsum(n_ids)
                 within = ends - sizes - np.repeat(block_ends - n_ids, n_docs)
                 parts = [got[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist())]
-                columns = [pa.array(np.repeat(batch.column("shard").to_numpy(), n_docs)), pa.array(np.repeat(batch.column("seq").to_numpy(), n_docs)), batch.column("doc_ids").flatten(), pa.array(within), pa.array(sizes), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+                columns = [pa.array(np.repeat(batch.column("shard").to_numpy(), n_docs)), pa.array(np.repeat(batch.column("seq").to_numpy(), n_docs)),
+                    batch.column("doc_ids").flatten(), pa.array(within), pa.array(sizes), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array(parts, pa.binary())] if ids else [])], names=names)
 
     names = ["shard", "seq", "doc_id", "within", "n_tokens", "ids_crc32", *(["ids"] if ids else [])]
     whole = blocks.withColumns({"n_docs": F.size("sizes").cast("long"), "n_points": F.size("checkpoints").cast("long")})
     docs = whole.mapInArrow(run, "shard int, seq long, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
-    return docs.join(starts, ["shard", "seq"]).select("doc_id", (F.col("block_start") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if ids else []))
+    return docs.join(starts, ["shard", "seq"]).select("doc_id", (F.col("block_start") + F.col("within")).alias("start"), "n_tokens", "ids_crc32",
+        *(["ids"] if ids else []))
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,8 +45,10 @@ TERMS = 20_000
 NEAR = 0.8
 STEMS = range(4, 9)
 _LOOKALIKES = {
-    "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x",
-    "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ɑ": "a", "ɡ": "g", "ı": "i", "ⅼ": "l", "ո": "n", "օ": "o", "ս": "u",
+    "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o",
+        "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x",
+    "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ɑ": "a", "ɡ": "g",
+        "ı": "i", "ⅼ": "l", "ո": "n", "օ": "o", "ս": "u",
 }
 _FOR_LETTERS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 _SIGNS = "@$!"
@@ -266,7 +268,8 @@ def learn(rows: list[tuple[str, int]]) -> Lexicon:
     return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: int = SAMPLE, longest: int = LONGEST) -> list[tuple[str, int]]:
+def sample(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: int = SAMPLE,
+    longest: int = LONGEST) -> list[tuple[str, int]]:
     """At most ``most`` (text, label) rows of each class, by the smallest hashes of id and text."""
     scratch = Scratch(docs.sparkSession, "toxic")
     short = docs.where(F.col(f"`{text}`").isNotNull() & (F.char_length(F.col(f"`{text}`")) <= longest))
@@ -291,7 +294,8 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: list[Colu
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 totals = own.totals(batch.column("__text").to_pylist(), machine)
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(totals[:, 0]), pa.array(totals[:, 1].astype(np.int64)), pa.array(own.scores(totals))], names=[*kept, "found", "words", "score"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(totals[:, 0]), pa.array(totals[:, 1].astype(np.int64)),
+                    pa.array(own.scores(totals))], names=[*kept, "found", "words", "score"])
 
     return source.mapInArrow(run, source.drop("__text").schema.add("found", "double").add("words", "long").add("score", "double"))
 
@@ -300,4 +304,5 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(crc_of_id() % 5 == 0, F.lit(False))
     lexicon = learn(sample(docs.where(~held_out), table(spark, sf_dir, "labels").where(~held_out)))
-    return score(docs, lexicon, keep=[F.col("doc_id"), held_out.alias("held_out")]).select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return score(docs, lexicon, keep=[F.col("doc_id"), held_out.alias("held_out")]).select("doc_id", "held_out", "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
