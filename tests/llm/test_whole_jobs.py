@@ -105,3 +105,18 @@ def test_a_cluster_must_name_its_shared_folder(master, fine):
             common.shared_dir(session)
     conf["spark.checkpoint.dir"] = "hdfs://shared/x/"
     assert common.shared_dir(session) == "hdfs://shared/x"
+
+
+def test_components_of_chains_hubs_and_rings(spark):
+    from vellumgrid.llm.common import Scratch
+    from vellumgrid.llm.components import components
+
+    chain = [(i, i + 1) for i in range(40)]
+    hub = [(1000, i) for i in range(1001, 1400)] + [(i, i) for i in range(5)]
+    ring = [(2000 + i, 2000 + (i + 1) % 30) for i in range(30)] + [(2003, 2017), (2003, 2017)]
+    odd = [(None, 5), (7000, None), (3000, 3001), (-5, 3001)]
+    links = spark.createDataFrame(chain + hub + ring + odd, "a long, b long")
+    want = {i: 0 for i in range(41)} | {i: 1000 for i in range(1000, 1400)} | {2000 + i: 2000 for i in range(30)} | {-5: -5, 3000: -5, 3001: -5}
+    got = components(links, Scratch(spark, "test")).collect()
+    assert {r.id: r.component for r in got} == want and len(got) == len(want)
+    assert components(links.limit(0), Scratch(spark, "test")).count() == 0
