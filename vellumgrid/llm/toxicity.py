@@ -23,7 +23,6 @@ documents are scored alike.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -53,7 +52,10 @@ _LOOKALIKES = {
 _FOR_LETTERS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 _SIGNS = "@$!"
 _READ = str.maketrans(_FOR_LETTERS)
-_DISGUISED = re.compile(f"(?<= )[^ 0-9{_SIGNS}]*[0-9{_SIGNS}][^ ]*")
+_NO_SIGNS = str.maketrans(_SIGNS, " " * len(_SIGNS))
+#: Digits and signs, by code point; other code points are looked up at 0x7F.
+_SPECIAL = np.zeros(0x80, bool)
+_SPECIAL[[ord(x) for x in "0123456789" + _SIGNS]] = True
 _DROPPED = 0xFFFF
 
 
@@ -84,22 +86,33 @@ def fold(text: str) -> str:
     gap = out == 0x20
     out = out[~(gap & np.concatenate([[False], gap[:-1]]))]
     plain = out.astype("<u4").tobytes().decode("utf-32-le", "replace")
+    special = np.flatnonzero(_SPECIAL[np.minimum(out, 0x7F)])
+    if not len(special):
+        return plain
+    spaces = np.flatnonzero(out == 0x20)
+    parts: list[str] = []
     others: list[str] = []
-
-    def read(found: re.Match) -> str:
-        word = found[0]
-        core = word.strip("0123456789" + _SIGNS)
-        if not core:
-            return re.sub(f"[{_SIGNS}]+", " ", word)  # a number
-        if core != word:  # what is at its ends may belong to it
-            lead, tail = word[: word.index(core)], word[word.index(core) + len(core) :]
-            others.extend({x.translate(_READ) for x in (lead + core, core + tail, word) if x != core})
-        return core.translate(_READ)
-
-    plain = re.sub(" +", " ", _DISGUISED.sub(read, plain))
+    done = 0
+    for k in np.unique(np.searchsorted(spaces, special)).tolist():
+        start, stop = int(spaces[k - 1]) + 1, int(spaces[k])
+        word = _read(plain[start:stop], others)
+        parts.append(plain[done:start] + word)
+        done = stop if word else stop + 1  # without a word, without its space
+    plain = "".join(parts) + plain[done:]
     return f"{plain}\n {' '.join(others)} " if others else plain
 
 
+def _read(word: str, others: list[str]) -> str:
+    """A word with digits or signs as it is read first; other readings go to ``others``."""
+    core = word.strip("0123456789" + _SIGNS)
+    if not core:  # a number
+        return " ".join(word.translate(_NO_SIGNS).split())
+    if core != word:  # what is at its ends may belong to it
+        lead, tail = word[: word.index(core)], word[word.index(core) + len(core) :]
+        others.extend({x.translate(_READ) for x in (lead + core, core + tail, word) if x != core})
+    return core.translate(_READ)
+
+
 def words_in(folded: str) -> list[str]:
     """The words of a folded text in order, without other readings."""
     return folded.partition("\n")[0].split()
